@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, token_counts, url_filters
+from . import html_text, mixing, near_dup, quality, token_counts, url_filters, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_query,
     "op2_quality_rules": quality.op2_query,
+    "op5_near_dup": near_dup.op5_query,
     "op6_url_filters": url_filters.op6_query,
+    "op7_warc": warc.op7_query,
     "op9_mixing": mixing.op9_query,
+    "op10_html_text": html_text.op10_query,
 }
 
 ORACLES = {
