@@ -16,7 +16,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD_RE, stash
@@ -149,6 +150,15 @@ class Index:
                         best[item] = (sim, start)
 
 
+def _passes(spark: SparkSession, benchmark: DataFrame, items_a_pass: int) -> Iterator[Broadcast]:
+    """The benchmark's items, about ``items_a_pass`` at a time."""
+    held = stash(benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text"), "benchmark")
+    passes = max(1, -(-held.count() // items_a_pass))
+    for k in range(passes):
+        part = held.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
+        yield spark.sparkContext.broadcast([(r[0], r[1]) for r in part.orderBy("item_id").collect()])
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80, items_a_pass: int = ITEMS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row and item that it holds: doc_id, item_id, similarity, first_word, n_words.
 
@@ -159,15 +169,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, words: int = 5, pe
     items with equal texts are each reported. Whole texts are searched, row by row, so no shuffle
     and no skew. The benchmark is taken in passes of about ``items_a_pass`` items, by a hash of their ids.
     """
-    spark = docs.sparkSession
-    held = stash(benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text"), "benchmark")
     schema = "doc_id long, item_id long, similarity double, first_word long, n_words long"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    passes = max(1, -(-held.count() // items_a_pass))
     out = None
-    for k in range(passes):
-        part = held if passes == 1 else held.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in part.orderBy("item_id").collect()])  # about items_a_pass items
+    for shared in _passes(docs.sparkSession, benchmark, items_a_pass):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, memo = Index(shared.value, words, percent), WordHash()
@@ -180,6 +185,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, words: int = 5, pe
     return out
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80, items_a_pass: int = ITEMS, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold an item, as find_contamination judges them. Rows pass
+    through with all their columns, so nothing is shuffled; each pass drops what its items hit."""
+    at = docs.columns.index(text_col)
+    for shared in _passes(docs.sparkSession, benchmark, items_a_pass):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index, memo = Index(shared.value, words, percent), WordHash()
+            for b in batches:
+                yield b.filter(pa.array([not index.matches(t, memo) for t in b.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document id that holds an item: doc_id, item_ids (sorted), similarity (the largest)."""
     found = find_contamination(docs, benchmark, **options)

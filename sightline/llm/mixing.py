@@ -38,8 +38,8 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), cap: int = 3) -> DataFra
     total = F.sum("source_size").over(everything).cast("double")
     a = a.withColumn("level", (total - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after))
     a = a.withColumn("full", F.col("most") <= F.col("level") * F.col("weight"))
-    # the sources are full up to the first that is not; its level holds for it and all after it
-    level = F.min(F.when(~F.col("full"), F.col("level"))).over(everything)
+    # the sources are full up to the first that is not; levels fall from there on, so its is the largest
+    level = F.max(F.when(~F.col("full"), F.col("level"))).over(everything)
     target = F.when(F.col("full") | level.isNull(), F.col("most")).otherwise(F.least(F.col("most"), level * F.col("weight")))
     return a.select("source", "source_size", target.alias("target"))
 
@@ -100,8 +100,8 @@ levels as (
 judged as (select *, most <= level * weight as is_full from levels),
 targets as (
   select source, source_size,
-         case when is_full or min(case when not is_full then level end) over () is null then most
-              else least(most, min(case when not is_full then level end) over () * weight) end as target
+         case when is_full or max(case when not is_full then level end) over () is null then most
+              else least(most, max(case when not is_full then level end) over () * weight) end as target
   from judged),
 runs as (
   select s.doc_id, s.source, s.size, t.source_size, t.target, floor(t.target)::bigint as budget,

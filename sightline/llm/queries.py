@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, line_dedup, mixing, near_dup, quality, token_counts, url_filters, warc
+import corpus_pipeline
+
+from . import decontaminate, html_text, line_dedup, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_token_counts": token_counts.op1_query,
     "op2_quality_rules": quality.op2_query,
     "op3_decontamination": decontaminate.op3_query,
+    "op4_suffix_dedup": suffix_dedup.op4_query,
     "op5_near_dup": near_dup.op5_query,
     "op6_url_filters": url_filters.op6_query,
     "op7_warc": warc.op7_query,
