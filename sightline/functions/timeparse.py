@@ -30,3 +30,16 @@ def whole_seconds(text: Column) -> Column:
 def seconds_of_day(ts: Column) -> Column:
     """Wall-clock seconds of day with microseconds, as a double."""
     return (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("double") + F.date_part(F.lit("SECOND"), ts).cast("double")
+
+
+def epoch_or_time(text: Column) -> Column:
+    """Epoch seconds of a number, a numeric string, ``Y-M-D h:m:s[.f]`` or ``Y:M:D h:m:s``; null otherwise."""
+    t = F.trim(text.cast("string"))
+    iso = F.try_to_timestamp(F.regexp_replace(t, "^(\\d{4}):(\\d{2}):(\\d{2})", "$1-$2-$3"))
+    dated = F.when(t.rlike(r"^\d{4}[-:]\d{2}[-:]\d{2}[ T]\d{2}:\d{2}"), F.unix_micros(iso) / 1e6)
+    return F.coalesce(t.try_cast("double"), dated)
+
+
+def wall_clock(text: Column) -> Column:
+    """An ISO time with its zone dropped, not converted."""
+    return F.try_to_timestamp(F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", "")).cast("timestamp_ntz")
