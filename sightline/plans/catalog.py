@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import calibration, matching, scalars  # noqa: F401
+from . import calibration, detections, matching, scalars  # noqa: F401
