@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
-
+from functools import cache
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..config import DEFAULT_RANK, ENROLL_RANK, SETTINGS, Settings
 from ..functions.bibs import compatible
 from ..functions.vectors import cosine_distance
+from .folds import fold_groups
 
 
 def ghost_matches(confirmed: DataFrame, ghosts: DataFrame, by: list[str], face_ok: float, reid_ok: float, face_floor: float) -> DataFrame:
@@ -96,6 +96,11 @@ def wipe(tables: dict[str, DataFrame], project: str, column: str = "project_id")
 
 STATE = "id string, project_id string, bib string, face array<double>, reid array<double>, sighting_count int, enrollment_type string, shards array<struct<face: array<double>, reid: array<double>, count: int>>"
 
+@cache
+def _state_type() -> StructType:
+    """STATE as a type; the parser needs a session, so not at import."""
+    return _parse_datatype_string(STATE)
+
 
 def _unit(v: np.ndarray) -> np.ndarray:
     n = np.linalg.norm(v)
@@ -193,32 +198,24 @@ def enroll(enrollments: DataFrame, bank: DataFrame | None = None, settings: Sett
     seq: a table of STATE with the identities of all bibs touched and their new ghosts. ``bank``: a
     table of STATE to start from. compat keeps two habits of the reference: a new identity with
     vectors counts 2 sightings, and a shard that takes vectors in lets the primary take them too."""
-    columns = [c.split(" ")[0] for c in STATE.replace("array<struct<face: array<double>, reid: array<double>, count: int>>", "x").split(", ")]
-
-    def start(project, bib, held: pd.DataFrame | None) -> Enrollment:
-        state = None
-        if held is not None and len(held):
-            r = held.iloc[0]
-            vec = lambda v: None if v is None else np.asarray(v, np.float64)
-            state = {c: r[c] for c in columns} | {"face": vec(r["face"]), "reid": vec(r["reid"]), "shards": [{"face": vec(x["face"]), "reid": vec(x["reid"]), "count": x["count"]} for x in (r["shards"] if r["shards"] is not None else [])]}
-            state["sighting_count"] = int(state["sighting_count"])
-        return Enrollment(project, bib, settings, compat, state)
-
-    def fold(rows: pd.DataFrame, held: pd.DataFrame | None) -> Iterator[dict]:
-        rows = rows.sort_values("seq", kind="stable")
-        e = start(rows["project_id"].iat[0], rows["bib"].iat[0], held)
-        for r in rows.itertuples():
-            e.add(r.seq, r.face, r.reid, r.match_type)
+    vec = lambda v: None if v is None else np.asarray(v, np.float64)
+
+    def fold(rows: list[dict]) -> list[dict]:
+        held = rows[0]["state"]
+        if held is not None:
+            held = held | {"face": vec(held["face"]), "reid": vec(held["reid"]), "shards": [x | {"face": vec(x["face"]), "reid": vec(x["reid"])} for x in held["shards"] or ()]}
+        e = Enrollment(rows[0]["project_id"], rows[0]["bib"], settings, compat, held)
+        for r in rows:
+            if r["state"] is None:
+                e.add(r["seq"], r["face"], r["reid"], r["match_type"])
         return e.rows()
 
-    known = enrollments.where(F.col("bib").isNotNull())
+    columns = ["project_id", "bib", "seq", "face", "reid", "match_type"]
+    doubles = "array<double>"
+    new = enrollments.where(F.col("bib").isNotNull()).select(*[F.col(c).cast(doubles).alias(c) if c in ("face", "reid") else c for c in columns], F.lit(None).cast(_state_type()).alias("state"))
     if bank is None:
-        return known.groupBy("project_id", "bib").applyInPandas(lambda p: pd.DataFrame(fold(p, None), columns=columns), STATE)
-    old = bank.where(F.col("bib").isNotNull())
-
-    def both(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows):
-            return held[columns]
-        return pd.DataFrame(fold(rows, held), columns=columns)
-
-    return known.groupBy("project_id", "bib").cogroup(old.groupBy("project_id", "bib")).applyInPandas(both, STATE).unionByName(bank.where(F.col("bib").isNull()))
+        return fold_groups(new, ["project_id", "bib"], ["seq"], fold, STATE)
+    names = [f.name for f in _state_type().fields]
+    nothing = {c: F.lit(None).cast(t).alias(c) for c, t in new.dtypes}
+    old = bank.where(F.col("bib").isNotNull()).select("project_id", "bib", *[nothing[c] for c in columns[2:]], F.struct(*names).cast(_state_type()).alias("state"))
+    return fold_groups(old.unionByName(new), ["project_id", "bib"], [F.col("state").isNull(), "seq"], fold, STATE).unionByName(bank.where(F.col("bib").isNull()).select(*names))

@@ -1,0 +1 @@
+"""Where messages and tables come from and go to."""
