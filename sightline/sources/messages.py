@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import first_filled
 from .schemas import RAW_INFERENCE
@@ -62,7 +63,7 @@ def burst_payload(meta: DataFrame, results: str, metadata: str) -> DataFrame:
     return meta.withColumn("images", F.when(same.isNull(), F.arrays_zip(F.col(metadata).alias("meta"), F.col(results).alias("result"))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def vector_to_base64(v: pd.Series) -> pd.Series:
     """A float vector as base64 of its little-endian float32 bytes."""
     import base64
@@ -70,7 +71,7 @@ def vector_to_base64(v: pd.Series) -> pd.Series:
     return v.map(lambda x: None if x is None else base64.b64encode(np.asarray(x, "<f4").tobytes()).decode())
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def base64_to_vector(s: pd.Series) -> pd.Series:
     import base64
 
