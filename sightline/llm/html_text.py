@@ -2,8 +2,7 @@
 
 Every element gets its link-adjusted characters per tag; an element's density sum is the sum of its
 children's densities. The subtree with the largest density sum is the article; the smallest density
-on the path from body to it is the threshold, and its siblings on that path that reach the
-threshold and are articles or paragraphs by themselves stay outside. Menus, forms, adverts and the
+on the path from body to it is the threshold that elements must reach. Menus, forms, adverts and the
 like are cut from the tree before anything is measured.
 """
 
@@ -30,11 +29,13 @@ SCOPE = frozenset("table td th caption button object marquee template".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promos promotion banner banners "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer foot header masthead topbar "
+    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer foot "
     "cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login "
     "comment comments commentlist disqus respond share sharing social related recommended recommendations widget widgets "
     "pagination pager toolbar copyright disclaimer".split()
 )
+#: Boilerplate of a page, but not within its article.
+PAGE_NAMES = frozenset("header masthead topbar".split())
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+)")
 _PARTS = re.compile(r"[^a-z0-9]+")
@@ -49,23 +50,25 @@ class Node:
         self.density = 0.0
 
 
+def _in_article(node: Node | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
 def _boilerplate(tag: str, attrs: str, parent: Node | None) -> bool:
     if tag in DROPPED:
         return True
-    if tag == "header":  # a page's header, not an article's
-        up = parent
-        while up is not None:
-            if up.tag in ("article", "main"):
-                break
-            up = up.parent
-        else:
-            return True
+    if tag == "header" and not _in_article(parent):
+        return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and not NAMES.isdisjoint(_PARTS.split(value)):
-            return True
+        if name in ("class", "id"):
+            parts = _PARTS.split(value)
+            if not NAMES.isdisjoint(parts) or not PAGE_NAMES.isdisjoint(parts) and not _in_article(parent):
+                return True
         if name == "role" and value.strip() in ROLES:
             return True
         if name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -171,14 +174,15 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
-def choose(root: Node) -> Node:
-    """The subtree of the largest density sum among those at or above the body path's threshold."""
+def choose(root: Node) -> list[Node]:
+    """The subtree of the largest density sum among those at or above the body path's threshold; of
+    articles and sections, also those beside it that reach the threshold."""
     nodes = measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     total = lambda n: sum(k.density for k in n.kids if type(k) is Node and not k.cut)
     best = max(_walk(body), key=total)
     if total(best) <= 0:
-        return body
+        return [body]
     threshold, up = best.density, best
     while up is not None and up is not body:
         threshold, up = min(threshold, up.density), up.parent
@@ -190,9 +194,12 @@ def choose(root: Node) -> Node:
         if up.tag in ("article", "main"):
             chosen = up
         up = up.parent
-    if chosen is not body and chosen.chars < 0.5 * body.chars and chosen.tag not in ("article", "main"):
-        return body
-    return chosen
+    beside = [chosen]
+    if chosen.tag in ("article", "section") and chosen is not body:
+        beside = [k for k in chosen.parent.kids if type(k) is Node and not k.cut and k.chars and (k is chosen or k.tag == chosen.tag and (k.tag == "article" or k.density >= threshold))]
+    if chosen is not body and sum(n.chars for n in beside) < 0.5 * body.chars and chosen.tag not in ("article", "main"):
+        return [body]
+    return beside
 
 
 def text_of(node: Node) -> str:
@@ -222,7 +229,7 @@ def extract(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    return text_of(choose(root))
+    return "\n".join(x for x in map(text_of, choose(root)) if x)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
