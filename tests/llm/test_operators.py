@@ -384,3 +384,14 @@ def test_digest_of_a_payload(spark):
     got = [r[0] for r in df.select(warc.base32_sha1(F.col("t").cast("binary"))).collect()]
     assert got == [warc.payload_sha1(t.encode()) for t in ["", "abc", "日本" * 50]]
     assert hashlib.sha1(b"").hexdigest()[:4] == "da39"
+
+
+def test_html_layouts():
+    two = f"<body><article><p>Short.</p></article><article><p>{LONG}</p></article></body>"
+    assert html_text.extract(two) == f"Short.\n{LONG.strip()}"
+    sections = f"<body><div role='navigation'>nav</div><section><h2>H</h2><p>{LONG}</p></section><section><h2>I</h2><p>{LONG}</p></section></body>"
+    assert html_text.extract(sections) == f"H\n{LONG.strip()}\nI\n{LONG.strip()}"
+    links = f"<body><div class=top><a href=1>Home</a> <a href=2>News</a></div><div id=content><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div><ul><li><a href=1>one</a></ul></div></body>"
+    assert html_text.extract(links) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+    own = f"<body><article><div class='article-header'><h1>T</h1></div><p>{LONG}</p><div class='share'>Tweet</div></article><div id=comments><p>{LONG * 9}</p></div></body>"
+    assert html_text.extract(own) == f"T\n{LONG.strip()}"
