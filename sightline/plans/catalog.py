@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import bank, calibration, detections, matching, scalars  # noqa: F401
+from . import bank, calibration, composites, detections, matching, scalars  # noqa: F401
