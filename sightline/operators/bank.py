@@ -13,15 +13,20 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from ..config import DEFAULT_RANK, ENROLL_RANK, SETTINGS, Settings
 from ..functions.bibs import compatible
 from ..functions.vectors import cosine_distance
+from ..sources.work import written
 from .folds import fold_groups
+from .gallery import close_pairs
 
 
 def ghost_matches(confirmed: DataFrame, ghosts: DataFrame, by: list[str], face_ok: float, reid_ok: float, face_floor: float) -> DataFrame:
     """Pairs (confirmed_id, bib, ghost_id, face_dist, reid_dist) of equal ``by`` that pass the vector
-    gate. Distances with a null vector are null, and fail."""
+    gate. Distances with a null vector are null, and fail. Every way through the gate needs a face
+    similarity, so pairs come from a blocked matrix product on faces, and the gate decides on these."""
     a = confirmed.select(*by, F.col("id").alias("confirmed_id"), "bib", F.col("face").alias("face_a"), F.col("reid").alias("reid_a"))
     b = ghosts.select(*by, F.col("id").alias("ghost_id"), F.col("face").alias("face_b"), F.col("reid").alias("reid_b"))
-    m = a.join(b, by).withColumns({"face_dist": cosine_distance(F.col("face_a"), F.col("face_b")), "reid_dist": cosine_distance(F.col("reid_a"), F.col("reid_b"))})
+    near = close_pairs(a.withColumnRenamed("face_a", "_face"), b.withColumnRenamed("face_b", "_face"), by, min(face_ok, face_floor), "confirmed_id", "ghost_id", "_face")
+    a, b = a.drop(*by), b.drop(*by)
+    m = near.join(a, "confirmed_id").join(b, "ghost_id").withColumns({"face_dist": cosine_distance(F.col("face_a"), F.col("face_b")), "reid_dist": cosine_distance(F.col("reid_a"), F.col("reid_b"))})
     ok = (F.col("face_dist") <= 1 - face_ok) | ((F.col("reid_dist") <= 1 - reid_ok) & (F.col("face_dist") <= 1 - face_floor))
     return m.where(F.coalesce(ok, F.lit(False))).select(*by, "confirmed_id", "bib", "ghost_id", "face_dist", "reid_dist")
 
@@ -49,7 +54,7 @@ def adopt(confirmed: DataFrame, ghosts: DataFrame, subjects: DataFrame, by: list
     """
     m = without_veto(without_shared_photos(ghost_matches(confirmed, ghosts, by, face_ok, reid_ok, face_floor), subjects), subjects)
     w = Window.partitionBy("ghost_id").orderBy("bib", "confirmed_id")
-    won = m.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("ghost_id", "confirmed_id", "bib")
+    won = written(m.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("ghost_id", "confirmed_id", "bib"), "adoptions")
     s = subjects.join(won.select(F.col("ghost_id").alias("identity_id"), F.col("confirmed_id").alias("_c"), F.col("bib").alias("_b")), "identity_id", "left")
     take = F.col("_c").isNotNull() & F.col("assigned_bib").isNull()
     changed = {"identity_id": F.when(take, F.col("_c")).otherwise(F.col("identity_id")), "match_type": F.when(take, "ghost_adopted").otherwise(F.col("match_type")), "assigned_bib": F.when(take, F.col("_b")).otherwise(F.col("assigned_bib"))}

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,22 +10,12 @@ from ..functions.timeparse import seconds_of_day
 from ..operators import bank, bursts, reports
 from ..sources import messages, participants
 from ..sources.schemas import RAW_INFERENCE
+from ..sources.work import work_path, written
 from ..streaming.bursts import bank_sink, detections_of, once, run_available
 from .registry import query
 from .scalars import table
 
 
-def _work(spark, label):
-    """A folder in the shared store that the session names; one of this machine only in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = "file://" + tempfile.mkdtemp(prefix="sightline-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 @query("photo_upsert_merge", sql="""
 with t as (select o_orderkey as photo, o_totalprice as taken, o_orderstatus as status from orders where o_orderkey % 3 <> 0),
 i as (select l_orderkey as photo, l_extendedprice as taken from (select *, row_number() over (partition by l_orderkey order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_linenumber desc) as r from lineitem where l_orderkey % 2 = 0) where r = 1)
@@ -221,7 +208,7 @@ def _resolved(spark, sf_dir):
     d = _detections(spark, sf_dir)
     p = table(spark, sf_dir, "customer").where("c_custkey < 200").select(F.lit("p").alias("project_id"), (100 + F.col("c_custkey")).cast("string").alias("bib"), F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") * 71 % 15000).cast("double")).alias("finish"), (F.col("c_custkey") % 7 != 0).alias("valid"))
     hints = bursts.timing_hints(d, p.where("finish is not null")).groupBy("project_id", "burst_id").agg(F.sort_array(F.collect_set("bib")).alias("hints"))
-    clusters = bursts.cluster_bursts(d.join(hints, ["project_id", "burst_id"], "left"))
+    clusters = written(bursts.cluster_bursts(d.join(hints, ["project_id", "burst_id"], "left")), "clusters")
     sods = d.groupBy("project_id", "burst_id").agg(F.min_by("sod", "photo_id").alias("sod"))
     return clusters, sods, p
 
@@ -271,7 +258,7 @@ def payload_violations(spark, sf_dir):
 select l_orderkey::varchar as burst_id, count(*) as persons from lineitem where l_orderkey % 10 = 0 and l_orderkey in (select o_orderkey from orders) group by l_orderkey
 """)
 def stream_bursts(spark, sf_dir):
-    src, out, ck = _work(spark, "stream-src"), _work(spark, "stream-out"), _work(spark, "stream-ck")
+    src, out, ck = work_path(spark, "stream-src"), work_path(spark, "stream-out"), work_path(spark, "stream-ck")
     sent = messages.to_messages(_raw_bursts(spark, sf_dir))
     sent.unionByName(sent.limit(50)).write.text(src)  # a redelivery
     stream = once(messages.parse(messages.read_stream(spark, src, 4), RAW_INFERENCE)[0], "burst_id")
@@ -281,7 +268,7 @@ def stream_bursts(spark, sf_dir):
 
 @query("stream_bank")
 def stream_bank(spark, sf_dir):
-    src, out, log, ck = (_work(spark, x) for x in ("bank-src", "bank", "bank-log", "bank-ck"))
+    src, out, log, ck = (work_path(spark, x) for x in ("bank-src", "bank", "bank-log", "bank-ck"))
     e = _enrollments(spark, sf_dir)
     e.repartitionByRange(2, "seq").write.parquet(src)
     stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
