@@ -2,17 +2,21 @@
 
 Distinct lines within one edit agree on all of q blocks but one, whichever length class (of the
 shorter line) the blocks are cut for. Lines that share such a key with no other line have no
-neighbour and are set aside: first with q = 2, then, for the rest, with q = 16. The lines left emit
+neighbour and are set aside: first by the two ends of a line, then, for the rest, with q = 16. The lines left emit
 their deletion variants as hashed keys - only inside the block that may differ, as all others are
 known to be equal. Equal variants are joined, edit distance is verified, and the earliest is kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CHARS, free_name, stash
+from .common import WORD_RE, free_name, slices, stash
 
 #: Lines with fewer characters are left alone: one edit makes another word of them.
 LEAST_CHARS = 20
@@ -20,7 +24,20 @@ LEAST_CHARS = 20
 
 def normal_line(line: Column) -> Column:
     """Words of the line with one space between them."""
-    return F.regexp_replace(F.btrim(line, F.lit(SPACE_CHARS)), SPACE, " ")
+    return F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "), F.lit(" "))
+
+
+def _half_keys(norm: Column, n: Column) -> list[Column]:
+    """Hashes of the line's two ends. An end has 8 * (n div 16) characters, at most half; lines whose
+    length may be one over a multiple of 16 give the shorter ends too, so that two lines within one
+    edit share an end whatever their lengths. The third and fourth are null for most lines."""
+    size = lambda m: (F.floor(m / 16) * 8).cast("int")
+    out = []
+    for m in (n, n - 1):
+        k = size(m)
+        one = F.xxhash64(F.lit("p"), k, F.substring(norm, F.lit(1), k)), F.xxhash64(F.lit("s"), k, F.when(k > 0, F.substring(norm, n - k + 1, k)).otherwise(F.lit("")))
+        out += one if m is n else [F.when(n % 16 == 0, x) for x in one]
+    return out
 
 
 def _classes(n: Column) -> Column:
@@ -45,6 +62,47 @@ def _block_keys(norm: Column, n: Column, q: int) -> Column:
     return F.flatten(F.transform(_classes(n), of_class))
 
 
+def _packed(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with the text compressed, and _version: texts cross the shuffles at a third of their size."""
+    names = [*docs.columns, "_version"]
+    at = names.index(text_col)
+    fields = [f"`{f.name}` {'binary' if f.name == text_col else f.dataType.simpleString()}" for f in docs.schema.fields]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=3).compress
+        for b in slices(batches):
+            texts = pa.array([None if t is None else z(t.encode()) for t in b.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], names=names)
+
+    version = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.withColumn("_version", version).mapInArrow(pack, ", ".join([*fields, "_version long"]))
+
+
+def _asked_lines(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """at, n, norm, h1, h2 of the lines that ``asked`` lists (doc_id, version, asked), once each."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    wanted = asked.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "asked")
+    packed = _packed(docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text")), "_text")
+    joined = packed.join(wanted, F.col("_key").eqNullSafe(F.col("_d")) & (F.col("_version") == F.col("_v"))).select("_key", "_version", "_text", "asked")
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in slices(batches):
+            rows, source = [], []
+            for i, (data, lines) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                text = unpack(data).decode().split("\n")
+                for x in lines:
+                    rows.append((x["line_no"], " ".join(WORD_RE.findall(text[x["line_no"]])), x["h1"], x["h2"]))
+                source += [i] * len(lines)
+            same = pa.array(source, pa.int64())
+            kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(same), b.column(1).take(same), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["doc_id", "version", "line_no", "norm", "h1", "h2"])
+
+    found = joined.mapInArrow(pick, f"doc_id {id_type}, version long, line_no int, norm string, h1 long, h2 long")
+    at = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version", "line_no").alias("at")
+    return found.select(at, F.char_length("norm").alias("n"), "norm", "h1", "h2").dropDuplicates(["h1", "h2"])
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, version, line_no) of the lines to drop. version is a hash of the text, so that rows that
     repeat an id with another text are told apart; rows equal in both share their result.
@@ -55,19 +113,22 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    lines = base.select("doc_id", "version", "line_no", normal_line(F.col("line")).alias("norm")).where(F.char_length("norm") >= least_chars)
-    lines = lines.select(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version", "line_no").alias("at"), F.char_length("norm").alias("n"), "norm")
-    hashes = lines.select("at", "n", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(2), "norm").alias("h2"), *[_block_keys(F.col("norm"), F.col("n"), 2)[k]["key"].alias(f"k{k}") for k in range(4)])
-    occurrences = stash(hashes, "lines")
-    distinct = stash(occurrences.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.first("n").alias("n"), *[F.first(f"k{k}").alias(f"k{k}") for k in range(4)]), "distinct-lines")
-
-    # lines that share a half with another distinct line
-    halves = distinct.select("h1", "h2", "first", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    twice = halves.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    maybe = stash(halves.join(twice, "key", "left_semi").select("h1", "h2", "first").distinct(), "maybe-lines")
+    lines = base.select("doc_id", "version", "line_no", normal_line(F.col("line")).alias("norm")).select("*", F.char_length("norm").alias("n")).where(F.col("n") >= least_chars)
+    keys = [k.alias(f"k{i}") for i, k in enumerate(_half_keys(F.col("norm"), F.col("n")))]
+    lines = lines.select(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version", "line_no").alias("at"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(2), "norm").alias("h2"), *keys)
+    occurrences = stash(lines, "lines")
+    names = [f"k{i}" for i in range(len(keys))]
+    distinct = stash(occurrences.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), *[F.first(k).alias(k) for k in names]), "distinct-lines")
+
+    # lines that share an end with another distinct line; 64 bits name a line here, as this only sets others aside
+    halves = distinct.select("h1", F.explode(F.array_compact(F.array(*names))).alias("key"))
+    # (written, so that the join has a plain exchange on both sides and a hot key can be split)
+    twice = stash(halves.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "twice")
+    some = halves.join(twice, "key", "left_semi").select("h1").distinct()
+    maybe = distinct.select("h1", "h2", "first").join(some, "h1", "left_semi")
     # their texts, at their first place
-    here = lines.select("at", "n", "norm")
-    texts = stash(here.join(maybe.withColumnRenamed("first", "at"), "at").dropDuplicates(["at"]), "maybe-texts")
+    asked = maybe.groupBy("first.doc_id", "first.version").agg(F.collect_list(F.struct("first.line_no", "h1", "h2")).alias("asked"))
+    texts = stash(_asked_lines(docs, asked, id_col, text_col), "maybe-texts")
     # lines that share all blocks but one
     fine = texts.select("h1", "h2", "at", "n", "norm", F.explode(_block_keys(F.col("norm"), F.col("n"), 16)).alias("b"))
     fine_keys = texts.select(F.explode(F.transform(_block_keys(F.col("norm"), F.col("n"), 16), lambda b: b["key"])).alias("key"))
@@ -98,7 +159,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sure = pairs.join(a, F.col("at") == F.col("_a")).join(b, F.col("other") == F.col("_b")).where(F.levenshtein("norm_a", "norm_b", 1).between(0, 1))
     near = stash(sure.select("h1", "h2", F.lit(True).alias("near")), "near-lines")
 
-    fate = distinct.select("h1", "h2", "first").join(near, ["h1", "h2"], "left")
+    fate = stash(distinct.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left").where("times > 1 or near").drop("times"), "line-fates")
     out = occurrences.select("at", "h1", "h2").join(fate, ["h1", "h2"]).where((F.col("at") != F.col("first")) | F.col("near"))
     return out.select("at.doc_id", "at.version", "at.line_no")
 
@@ -109,22 +170,33 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text stays null, with 0 lines; other texts keep their remaining lines as they are, and
     lines without words or below ``least_chars`` are never dropped. No row is lost.
     """
-    gone = stash(dropped_lines(docs, id_col, text_col, least_chars).distinct().groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines")
+    gone = stash(dropped_lines(docs, id_col, text_col, least_chars).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines")
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "_gone")
-    keyed = docs.withColumn("_version", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = keyed.join(gone, F.col(id_col).eqNullSafe(F.col("_d")) & (F.col("_version") == F.col("_v")), "left")
-    lines = F.split(F.col(text_col), "\n")
-    # collect_set is unsorted; sequence minus set keeps the order of lines
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.size("_gone") >= F.size(lines), F.lit("")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return joined.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias(free_name(docs, "n_lines")),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(free_name(docs, "n_dropped")),
-    )
+    n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
+    packed = _packed(docs, text_col).withColumn("_key", F.col(id_col))
+    joined = packed.join(gone, F.col("_key").eqNullSafe(F.col("_d")) & (F.col("_version") == F.col("_v")), "left")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    at = docs.columns.index(text_col)
+    names = [*docs.columns, n_lines, n_dropped]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in slices(batches):
+            texts, lines, dropped = [], [], []
+            for data, drop in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+                text = None if data is None else unpack(data).decode()
+                parts = [] if text is None else text.split("\n")
+                if drop:
+                    out = set(drop)
+                    text = "\n".join(x for i, x in enumerate(parts) if i not in out)
+                texts.append(text), lines.append(len(parts)), dropped.append(len(drop or ()))
+            kept = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(names) - 2)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=names)
+
+    return joined.select(*[f"`{c}`" for c in docs.columns], "_gone").mapInArrow(cut, ", ".join([*fields, f"{n_lines} long", f"{n_dropped} long"]))
 
 
 def op8_query(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = dedup_lines(docs)
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
