@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import slices, stash
 from .near_dup import _mix
 
 GRAM = 32
@@ -263,47 +263,52 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     of a skewed join, and counts are combined before the shuffle.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), F.encode(text, "UTF-8").alias("bytes")).where(F.octet_length("bytes") >= length)
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), text.cast("binary").alias("bytes")).where(F.octet_length("bytes") >= length)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, data in enumerate(b.column(2).to_pylist()):
-                h, key, s0, s1, at = cells(np.frombuffer(data, np.uint8), length)
-                n = len(h)
-                head = b.slice(i, 1)
-                yield pa.RecordBatch.from_arrays([head.column(0).take(pa.array(np.zeros(n, np.int64))), head.column(1).take(pa.array(np.zeros(n, np.int64))), pa.array(h.view(np.int64)), pa.array(key.view(np.int64)), pa.array(s0), pa.array(s1), pa.array(at)], names=["doc_id", "version", "gram", "cell", "s0", "s1", "anchor"])
+        names = ["doc_id", "version", "gram", "cell", "s0", "s1", "anchor"]
+        for b in slices(batches):
+            found = [cells(np.frombuffer(data, np.uint8), length) for data in b.column(2).to_pylist()]
+            if not found:
+                continue
+            rows = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
+            h, key, s0, s1, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(h.view(np.int64)), pa.array(key.view(np.int64)), pa.array(s0), pa.array(s1), pa.array(at)], names=names)
 
     found = stash(base.mapInArrow(to_cells, f"doc_id {id_type}, version long, gram long, cell long, s0 long, s1 long, anchor long"), "cells")
-    twice = found.groupBy("cell").agg(F.count("*").alias("c")).where("c > 1").select("cell")
+    # written, so that the join below has a plain exchange on both sides and a hot cell can be split
+    twice = stash(found.groupBy("cell").agg(F.count("*").alias("c")).where("c > 1").select("cell"), "twice")
     asked = found.join(twice, "cell", "left_semi").groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(F.struct("s0", "s1", "gram", "anchor"))).alias("asked"))
     asked = asked.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "asked")
 
     def to_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         names = ["doc_id", "version", "gram", "start", "c1", "c2", "context"]
-        for b in batches:
-            asked_rows = b.column(3)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        for b in slices(batches):
+            lists, rows, source = b.column(3), [], []
+            edges, flat = lists.offsets.to_numpy(), lists.values
+            first, last, gram, anchor = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
             for i, data in enumerate(b.column(2).to_pylist()):
-                runs: list[list[int]] = []
-                for x in asked_rows[i].as_py():
-                    if runs and runs[-1][3] == x["anchor"] and runs[-1][1] + 1 == x["s0"]:
-                        runs[-1][1] = x["s1"]
-                    else:
-                        runs.append([x["s0"], x["s1"], x["gram"], x["anchor"]])
-                rows = []
-                for s0, s1, gram, _ in runs:
+                x, y = edges[i], edges[i + 1]
+                # cells of one anchor that follow each other are one context
+                new = np.ones(y - x, bool)
+                new[1:] = (anchor[x + 1 : y] != anchor[x : y - 1]) | (first[x + 1 : y] != last[x : y - 1] + 1)
+                begin = np.flatnonzero(new) + x
+                end = np.append(begin[1:], y) - 1
+                for s0, s1, g in zip(first[begin].tolist(), last[end].tolist(), gram[begin].tolist(), strict=True):
                     context = data[s0 : s1 + length]
                     d = hashlib.blake2b(context, digest_size=16).digest()
-                    new = d not in seen  # sent once a task
-                    if new:
+                    fresh = d not in seen  # sent once a task
+                    if fresh:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(d)
-                    rows.append((gram, s0, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), context if new else None))
-                same = pa.array(np.full(len(rows), i))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(same), b.column(1).take(same), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
+                    rows.append((g, s0, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), context if fresh else None))
+                source.append(len(begin))
+            same = pa.array(np.repeat(np.arange(len(source)), source))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(same), b.column(1).take(same), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
 
     joined = base.join(asked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v"))).select("doc_id", "version", "bytes", "asked")
     contexts = stash(joined.mapInArrow(to_contexts, f"doc_id {id_type}, version long, gram long, start long, c1 long, c2 long, context binary"), "contexts")
@@ -326,7 +331,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             rows = [(k, r) for k, h in zip(held, hits, strict=True) if (r := _ranges(h))]
             return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.int64()), pa.array([k[1] for k, _ in rows], pa.int64()), pa.array([[{"a": a, "b": z} for a, z in r] for _, r in rows], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], names=["c1", "c2", "hits"])
 
-        for b in batches:
+        for b in slices(batches):
             for gram, c1, c2, context in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 if gram != last and size >= BLOCK_BYTES:
                     yield close()
@@ -346,9 +351,9 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     several = kinds.select("c1", "c2", (F.col("n") > 1).alias("whole"), "size")
     known = several.join(hits, ["c1", "c2"], "left").where("whole or hits is not null")
     spans = F.when(F.col("whole"), F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("size").cast("long").alias("b")))).otherwise(F.transform("hits", lambda x: F.struct(x["a"].alias("a"), (x["b"] + length).alias("b"))))
-    known = known.select("c1", "c2", spans.alias("spans"))
+    known = stash(known.select("c1", "c2", spans.alias("spans")), "known-contexts")
     covered = places.join(known, ["c1", "c2"]).select("doc_id", "version", F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b"))).alias("spans"))
-    return covered.groupBy("doc_id", "version").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return covered.groupBy("doc_id", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _by_digest(contexts: DataFrame, length: int, schema: str) -> DataFrame:
@@ -358,7 +363,7 @@ def _by_digest(contexts: DataFrame, length: int, schema: str) -> DataFrame:
     def to_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for b in batches:
+        for b in slices(batches):
             for c1, c2, context in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 n = len(context) - length + 1
                 view = memoryview(context)
@@ -377,12 +382,12 @@ def cut_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text
     else goes, judged on the input. Texts below ``length`` bytes and null texts lose nothing."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     spans = stash(repeated_spans(docs, length, id_col, text_col), "spans").select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "spans")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), F.encode(text, "UTF-8").alias("bytes"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), text.cast("binary").alias("bytes"))
     joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v")), "left").select("doc_id", "bytes", "spans")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for data, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 runs = merged([(x["a"], x["b"]) for x in found or []])
