@@ -65,30 +65,49 @@ def n_repeat_words(text: Column) -> Column:
     return let(words_of(text), lambda w: let(grams(w), of))
 
 
-def upper_percent_over(text: Column, percent: int) -> Column:
-    """Whether upper-case letters are more than ``percent`` of all letters."""
-    text = F.coalesce(text, F.lit(""))
-    upper = F.char_length(F.regexp_replace(text, r"[^\p{Lu}]+", ""))
-    letters = F.char_length(F.regexp_replace(text, r"[^\p{L}]+", ""))
-    return 100 * upper > percent * letters
+def n_lines(text: Column) -> Column:
+    """Lines with a word."""
+    return F.size(worded_lines(text)).cast("long")
+
+
+def n_upper(text: Column) -> Column:
+    return F.char_length(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{Lu}]+", "")).cast("long")
+
+
+def n_letters(text: Column) -> Column:
+    return F.char_length(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}]+", "")).cast("long")
+
+
+MEASURES = {"n_words": n_words_of, "word_chars": word_chars, "n_symbols": n_symbols, "n_lines": n_lines, "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words, "n_upper": n_upper, "n_letters": n_letters}
+
+
+class Measures:
+    """The measures of a text by name: each an expression over the text, or, of those in ``known``,
+    the column that holds it already."""
+
+    def __init__(self, text: Column, known: tuple[str, ...] = ()):
+        self.text, self.known = text, known
+
+    def __getattr__(self, name: str) -> Column:
+        return F.col(name) if name in self.known else MEASURES[name](self.text)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects(text)``: a Boolean column, never null."""
+    """``rejects(measures)``: a Boolean column, never null."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Measures], Column]
 
 
 #: The base of the contract, and the rules of this engine. Each is a share of the text, so texts of any length are judged alike.
 RULES = (
-    Rule("few_words", lambda t: n_words_of(t) < 50),
-    Rule("repeated_windows", lambda t: 100 * n_repeat_words(t) > 30 * n_words_of(t)),
-    Rule("symbols", lambda t: 10 * n_symbols(t) > 3 * n_words_of(t)),
-    Rule("upper_case", lambda t: upper_percent_over(t, 30)),
-    Rule("repeated_lines", lambda t: 100 * n_dup_lines(t) > 40 * F.size(worded_lines(t))),
-    Rule("word_length", lambda t: (word_chars(t) > 15 * n_words_of(t)) | (word_chars(t) < 2 * n_words_of(t))),
+    Rule("few_words", lambda m: m.n_words < 50),
+    Rule("repeated_windows", lambda m: 100 * m.n_repeat_words > 30 * m.n_words),
+    Rule("symbols", lambda m: 10 * m.n_symbols > 3 * m.n_words),
+    Rule("upper_case", lambda m: 100 * m.n_upper > 30 * m.n_letters),
+    Rule("repeated_lines", lambda m: 100 * m.n_dup_lines > 40 * m.n_lines),
+    Rule("word_length", lambda m: (m.word_chars > 15 * m.n_words) | (m.word_chars < 2 * m.n_words)),
 )
 
 
@@ -107,17 +126,18 @@ def estimate(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows:
     floor = timed(F.length("t") > 0)[0]
     out = []
     for rule in rules:
-        seconds, hit = timed(rule.rejects(F.col("t")))
+        seconds, hit = timed(rule.rejects(Measures(F.col("t"))))
         out.append((rule, max(seconds - floor, 1e-4) / n, hit / n))
     return out
 
 
-def cascade(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> tuple[Column, list[str]]:
-    """The verdict column (true: kept) with the rules in the order of rejections per cost, and that order."""
+def cascade(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, known: tuple[str, ...] = ()) -> tuple[Column, list[str]]:
+    """The verdict column (true: kept) with the rules in the order of rejections per cost, and that
+    order. known: measures that the rows will carry as columns, so that they are not taken twice."""
     ranked = sorted(estimate(docs, rules, text_col, sample_rows), key=lambda x: (-(x[2] / x[1]), x[1]))
     verdict = F.lit(True)
     for rule, _, _ in reversed(ranked):
-        verdict = F.when(rule.rejects(F.col(text_col)), F.lit(False)).otherwise(verdict)
+        verdict = F.when(rule.rejects(Measures(F.col(text_col), known)), F.lit(False)).otherwise(verdict)
     return verdict, [r.name for r, _, _ in ranked]
 
 
@@ -130,11 +150,11 @@ def judge_quality(docs: DataFrame, rules=RULES, text_col: str = "text", kept_col
 
 def op2_query(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    t = F.col("text")
-    judged = judge_quality(docs)
-    measured = judged.select("doc_id", "kept", n_words_of(t).alias("n_words"), word_chars(t).alias("word_chars"), n_symbols(t).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines"), n_repeat_words(t).alias("n_repeat_words"))
+    asked = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    verdict, _ = cascade(docs, known=asked)
+    measured = docs.withColumns({m: MEASURES[m](F.col("text")) for m in asked})
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
+    return measured.select("doc_id", *asked, failed.alias("base_failed"), (verdict & ~failed).alias("kept"))
 
 
 #: The measures and verdicts in one statement; ``{documents}`` is the table with the documents.
