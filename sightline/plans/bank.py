@@ -227,7 +227,8 @@ def rule_cascade(spark, sf_dir):
 @query("scribe_tasks")
 def scribe_tasks(spark, sf_dir):
     clusters, sods, p = _resolved(spark, sf_dir)
-    done = clusters.join(bursts.resolve_bursts(clusters, sods, p), ["project_id", "burst_id", "cluster"]).select("project_id", "burst_id", "cluster", "assigned_bib", "match_type", F.col("bib").alias("consensus_bib"), F.col("conf").alias("consensus_conf"))
+    done = clusters.join(bursts.resolve_bursts(clusters, sods, p), ["project_id", "burst_id", "cluster"])
+    done = written(done.select("project_id", "burst_id", "cluster", "assigned_bib", "match_type", F.col("bib").alias("consensus_bib"), F.col("conf").alias("consensus_conf")), "resolved")
     photos = clusters.select("project_id", "burst_id", "cluster", F.explode(F.arrays_zip("photos", "seqs")).alias("x")).select("project_id", "burst_id", "cluster", F.col("x.photos").alias("photo_id"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), F.lit(10.0).alias("x2"), F.lit(20.0).alias("y2"), F.lit(0).alias("img_width"), F.lit(0).alias("img_height"), F.lit(0.9).alias("confidence"), F.lit(None).cast("string").alias("ocr_bib"), F.lit(None).cast("double").alias("ocr_confidence"))
     return messages.to_messages(reports.scribe_task(done, photos, ["project_id", "burst_id"]))
 
