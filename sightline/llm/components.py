@@ -22,13 +22,16 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     seen = None
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        # minima are written, so that the joins have plain exchanges on both sides and a hub can be split
+        low = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
+        large = stash(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "cc-large")
+        unstash(low)
+        low = stash(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = stash(small, "cc")
         now = new.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        unstash(low), unstash(large)
         if e is not names:
             unstash(e)
         e = new

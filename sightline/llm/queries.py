@@ -22,6 +22,8 @@ QUERIES = {
 
 ORACLES = {
     "op2_quality_rules": quality.op2_sql(),
+    "op5_near_dup": near_dup.op5_sql(),
     "op6_url_filters": url_filters.op6_sql(),
+    "op7_warc": warc.op7_sql(),
     "op9_mixing": mixing.op9_sql(),
 }

@@ -43,7 +43,7 @@ def decide_revisits(pages: DataFrame, id_col: str, payload: Column, least_bytes:
     Only digests that occur twice are kept for the join, after a combined aggregate; they are
     broadcast up to BROADCAST_DUPLICATES, and beyond that joined by a shuffle.
     """
-    binary = F.encode(payload, "UTF-8")
+    binary = payload.cast("binary")
     measured = pages.withColumns({"_bytes": F.octet_length(payload).cast("long"), "_digest": base32_sha1(binary)})
     pairs = measured.where(F.col("_bytes") >= least_bytes).groupBy("_digest").agg(F.min(id_col).alias("_first"), F.count("*").alias("_n"))
     twice = stash(pairs.where("_n > 1").select(F.col("_digest").alias("_d"), "_first"), "warc-twice")
@@ -250,3 +250,15 @@ def op7_query(spark, sf_dir) -> DataFrame:
     digest = F.when(F.col("record_type") == "response", base32_sha1(F.col("payload"))).otherwise(F.regexp_replace("digest", "^sha1:", ""))
     size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes"))
     return r.select(number(F.col("record_id")).alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", number(F.col("refers_to")).alias("refers_to"))
+
+
+def op7_sql() -> str:
+    return f"""
+with p as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as h from pages),
+d as (
+  select page_id, strlen(payload)::bigint as payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('{BASE32}', (((('0x' || substr(h, (1 + 10 * (i // 8))::int, 10))::ubigint >> (35 - 5 * (i % 8))::ubigint) & 31) + 1)::int, 1)), '') as payload_digest,
+         min(page_id) over (partition by payload) as first
+  from p)
+select page_id, payload_bytes, payload_digest, case when first = page_id then 'response' else 'revisit' end as record_type, case when first <> page_id then first end as refers_to from d
+"""
