@@ -145,3 +145,24 @@ def test_json_of_a_notification(spark):
     got = json.loads(reports.notification(rows, ["burst_id"]).first().value)
     assert got["runners"] == [{"bib": "7", "confidence": 0.9}] and got["photo_ids"] == ["a", "b"]
     assert got["per_image"]["a"] == {"runners": [{"bib": "7", "confidence": 0.8}], "tags": ["LF"]} and got["per_image"]["b"]["tags"] == []
+
+
+def test_metrics_and_non_fatal_sinks(spark, tmp_path):
+    from sightline.streaming.metrics import Progress, non_fatal, run_every
+
+    raw(spark, BURST, {**BURST, "burst_id": "b2"}).write.text(f"{tmp_path}/in")
+    lines, seen = [], []
+    listener = Progress(lines.append)
+    spark.streams.addListener(listener)
+
+    def each(df, n):
+        seen.append(df.count())
+        raise ValueError("the receiver is away")
+
+    q = run_every(messages.parse(messages.read_stream(spark, f"{tmp_path}/in"))[0], f"{tmp_path}/ck", non_fatal(each, "notification"))
+    q.processAllAvailable()
+    q.stop()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    spark.streams.removeListener(listener)
+    assert seen[0] == 2 and q.exception() is None
+    assert any(json.loads(x)["event"] == "batch" for x in lines)
