@@ -14,15 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, WORD_RE, stash
+from .common import slices, stash
 from .components import connected_components
 
 K = 72
 #: Members that one task compares among themselves; larger groups go in pairs of blocks.
 BLOCK = 1024
+#: Shingles of such a block, about: 16 MB of hashes.
+BLOCK_SHINGLES = 2_000_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -35,20 +38,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHash(dict):
-    """64-bit hashes of words, remembered; emptied beyond a bound."""
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
+    """64-bit hashes of words (bytes), remembered; emptied beyond a bound."""
 
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 400_000:
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh64_intdigest(word)
         return h
 
 
 def shingle_hashes(text: str | None, words: int, memo: WordHash) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles; fewer words: the whole sequence as one."""
-    found = WORD_RE.findall(text.translate(ASCII_LOWER)) if text else []
+    found = text.encode().lower().split() if text else []  # of bytes, both go by ASCII alone
     if not found:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
@@ -68,10 +69,10 @@ def chunks_for(similarity: float, k: int = K) -> int:
 
 def _signature(sets: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """16-bit min-hashes of one set."""
-    out = np.empty(len(seeds), np.uint64)
+    out = np.full(len(seeds), np.uint64(2**64 - 1))
     with np.errstate(over="ignore"):
-        for i, s in enumerate(seeds):
-            out[i] = (sets * s).min()  # multiplication by an odd number permutes the 64-bit hashes
+        for at in range(0, len(sets), 1024):  # multiplication by an odd number permutes the 64-bit hashes
+            out = np.minimum(out, np.multiply.outer(seeds, sets[at : at + 1024]).min(1))
         return (_mix(out) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
@@ -146,7 +147,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col:
 
     Candidates: the buckets of equal keys, chained into candidate groups by star edges. Groups are
     compared whole in blocks of BLOCK members, so that no pair is emitted: a task returns at most
-    one edge per member. A candidate group beyond 8 * BLOCK is taken apart into its buckets, each
+    one edge per member. A candidate group beyond 8 blocks is taken apart into its buckets, each
     compared whole, in pairs of blocks over many tasks.
     """
     m = chunks_for(percent / 100)
@@ -155,7 +156,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHash()
-        for b in batches:
+        for b in slices(batches):
             n, c1, c2, keys = [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_hashes(text, words, memo)
@@ -177,23 +178,26 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col:
     reps = sketches.where("n_shingles > 0").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     keyed = stash(reps.select("doc_id", F.explode("keys").alias("key")), "keys")
     # buckets with two members or more, as stars around their smallest member
-    hubs = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).where("hub < top").select("key", "hub")
+    # (written, so that the join has a plain exchange on both sides and a hot key can be split)
+    hubs = stash(keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).where("hub < top").select("key", "hub"), "hubs")
     shared = stash(keyed.join(hubs, "key"), "buckets")
     groups = stash(connected_components(shared.where("doc_id > hub").select(F.col("doc_id").alias("u"), F.col("hub").alias("v")).distinct()), "groups")
-    large = groups.groupBy(F.col("component").alias("gid")).agg(F.count("*").alias("size"))
-    whole = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("gid")).join(large, "gid")
-    apart = whole.where(F.col("size") > 8 * BLOCK).select("doc_id").join(shared, "doc_id").select("doc_id", F.col("key").alias("gid"), F.lit(1).alias("kind"))
-    in_keys = apart.join(apart.groupBy("gid").agg(F.count("*").alias("size")), "gid").select("doc_id", "gid", "kind", "size")
-    work = whole.where(F.col("size") <= 8 * BLOCK).select("doc_id", "gid", F.lit(0).alias("kind"), "size").unionByName(in_keys)
+    sizes = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"))
+    members = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("gid")).join(sizes, "doc_id")
+    # blocks of a group, by members and by shingles
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    large = stash(members.groupBy("gid").agg(parts.alias("blocks")), "large-groups")
+    whole = members.join(large, "gid")
+    apart = whole.where(F.col("blocks") > 8).select("doc_id", "n").join(shared, "doc_id").select("doc_id", "n", F.col("key").alias("gid"), F.lit(1).alias("kind"))
+    in_keys = apart.join(apart.groupBy("gid").agg(parts.alias("blocks")), "gid").select("doc_id", "gid", "kind", "blocks")
+    work = whole.where(F.col("blocks") <= 8).select("doc_id", "gid", F.lit(0).alias("kind"), "blocks").unionByName(in_keys)
     # a member goes to the pairs of blocks that its own block is part of
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    work = work.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    work = work.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     work = stash(work.select("doc_id", "gid", "kind", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")), "work")
 
     def set_bytes(batches):
         memo = WordHash()
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_hashes(t, words, memo).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "set"])
 
     wanted = texts.dropna(subset=["doc_id"]).join(stash(work.select("doc_id").distinct(), "wanted"), "doc_id", "left_semi")
@@ -208,7 +212,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col:
                 edges = link_block(ids, held, in_first if at[2] != at[3] else 0, percent)
                 u.extend(e[0] for e in edges), v.extend(e[1] for e in edges)
 
-        for b in batches:
+        for b in slices(batches):
             for kind, gid, i, j, block, doc_id, members in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if at != (kind, gid, i, j):
                     close()
@@ -233,3 +237,21 @@ def op5_query(spark, sf_dir) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)
 
 
+
+
+def op5_sql() -> str:
+    return """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 3 then [array_to_string(w, ' ')]
+                                      else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+r as (select distinct doc_id as id, doc_id as c from documents union select e.b, r.c from r join e on r.id = e.a),
+m as (select id, min(c) as component_id from r group by id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id, d.doc_id = m.component_id as kept
+from documents d left join n on n.doc_id = d.doc_id left join m on m.id = d.doc_id
+"""
