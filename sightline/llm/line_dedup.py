@@ -9,35 +9,65 @@ known to be equal. Equal variants are joined, edit distance is verified, and the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, free_name, slices, stash
+from .common import free_name, slices, stash
 
 #: Lines with fewer characters are left alone: one edit makes another word of them.
 LEAST_CHARS = 20
+_ODD_SPACE = re.compile(r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]")
+_HALF = 1 << 63
 
 
-def normal_line(line: Column) -> Column:
+def normal_line(line: str) -> str:
     """Words of the line with one space between them."""
-    return F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "), F.lit(" "))
+    return (_ODD_SPACE.sub(" ", line) if _ODD_SPACE.search(line) else line).strip(" ")
 
 
-def _half_keys(norm: Column, n: Column) -> list[Column]:
+def _end_keys(norm: str, n: int) -> tuple[int, int, int | None, int | None]:
     """Hashes of the line's two ends. An end has 8 * (n div 16) characters, at most half; lines whose
     length may be one over a multiple of 16 give the shorter ends too, so that two lines within one
     edit share an end whatever their lengths. The third and fourth are null for most lines."""
-    size = lambda m: (F.floor(m / 16) * 8).cast("int")
-    out = []
-    for m in (n, n - 1):
-        k = size(m)
-        one = F.xxhash64(F.lit("p"), k, F.substring(norm, F.lit(1), k)), F.xxhash64(F.lit("s"), k, F.when(k > 0, F.substring(norm, n - k + 1, k)).otherwise(F.lit("")))
-        out += one if m is n else [F.when(n % 16 == 0, x) for x in one]
-    return out
+    k = n // 16 * 8
+    hashed = lambda part, seed: xxhash.xxh3_64_intdigest(part.encode(), seed) - _HALF
+    out = hashed(norm[:k], 2 * k), hashed(norm[n - k :], 2 * k + 1)
+    if n % 16:
+        return *out, None, None
+    j = k - 8
+    return *out, hashed(norm[:j], 2 * j), hashed(norm[n - j :], 2 * j + 1)
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
+    """at, h1, h2 (128 bits of the line's normal form) and end keys of all lines that count."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    names = ["doc_id", "version", "line_no", "h1", "h2", "k0", "k1", "k2", "k3"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            rows, source = [], []
+            for text in b.column(2).to_pylist():
+                before = len(rows)
+                for i, line in enumerate(text.split("\n")):
+                    if len(line) >= least_chars and (n := len(norm := normal_line(line))) >= least_chars:
+                        h = xxhash.xxh3_128_intdigest(norm.encode())
+                        rows.append((i, (h >> 64) - _HALF, (h & (1 << 64) - 1) - _HALF, *_end_keys(norm, n)))
+                source.append(len(rows) - before)
+            same = pa.array(np.repeat(np.arange(len(source)), source))
+            cols = zip(*rows, strict=True) if rows else [[]] * 7
+            yield pa.RecordBatch.from_arrays([b.column(0).take(same), b.column(1).take(same), *(pa.array(c, pa.int64() if k else pa.int32()) for k, c in enumerate(cols))], names=names)
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
+    found = base.mapInArrow(scan, f"doc_id {id_type}, version long, line_no int, " + ", ".join(f"{n} long" for n in names[3:]))
+    return found.select(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version", "line_no").alias("at"), *names[3:])
 
 
 def _classes(n: Column) -> Column:
@@ -92,7 +122,7 @@ def _asked_lines(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str)
             for i, (data, lines) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
                 text = unpack(data).decode().split("\n")
                 for x in lines:
-                    rows.append((x["line_no"], " ".join(WORD_RE.findall(text[x["line_no"]])), x["h1"], x["h2"]))
+                    rows.append((x["line_no"], normal_line(text[x["line_no"]]), x["h1"], x["h2"]))
                 source += [i] * len(lines)
             same = pa.array(source, pa.int64())
             kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
@@ -111,13 +141,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     character, in normal form) stands earlier, in the order of doc_id (null last), version and line
     number, whether or not that earlier line is itself dropped.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    lines = base.select("doc_id", "version", "line_no", normal_line(F.col("line")).alias("norm")).select("*", F.char_length("norm").alias("n")).where(F.col("n") >= least_chars)
-    keys = [k.alias(f"k{i}") for i, k in enumerate(_half_keys(F.col("norm"), F.col("n")))]
-    lines = lines.select(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version", "line_no").alias("at"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(2), "norm").alias("h2"), *keys)
-    occurrences = stash(lines, "lines")
-    names = [f"k{i}" for i in range(len(keys))]
+    occurrences = stash(_lines(docs, id_col, text_col, least_chars), "lines")
+    names = ["k0", "k1", "k2", "k3"]
     distinct = stash(occurrences.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), *[F.first(k).alias(k) for k in names]), "distinct-lines")
 
     # lines that share an end with another distinct line; 64 bits name a line here, as this only sets others aside
