@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CHARS, WORD_RE, fresh_path, stash
+from .common import SPACE, SPACE_CHARS, fresh_path, slices, stash
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 #: Words whose counts a Python worker remembers; the memo is emptied beyond this.
@@ -51,7 +51,7 @@ def _counter(spec: bytes, insensitive: bool):
     tok.no_truncation()
     tok.no_padding()
     encode = getattr(tok, "encode_batch_fast", tok.encode_batch)
-    memo: dict[str, int] = {}
+    memo: dict[bytes, int] = {}
 
     def whole(texts: list[str]) -> list[int]:
         return [len(e) for e in encode(texts, add_special_tokens=False)]
@@ -60,11 +60,11 @@ def _counter(spec: bytes, insensitive: bool):
         nonlocal memo
         out = []
         for text in texts:
-            words = WORD_RE.findall(text)
+            words = text.encode().split()  # bytes are split at ASCII white space
             new = [w for w in set(words) if w not in memo]
             for i in range(0, len(new), 20_000):
                 part = new[i : i + 20_000]
-                memo.update(zip(part, whole(part), strict=True))
+                memo.update(zip(part, whole([w.decode() for w in part]), strict=True))
             out.append(sum(map(memo.__getitem__, words)))
             if len(memo) > MEMO_WORDS:
                 memo = {}
@@ -93,7 +93,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)  # the folder exists from here on
     stored = lambda: spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
-    digest = F.unhex(F.sha2(F.encode("_content", "UTF-8"), 256)).alias("_digest")
+    digest = F.unhex(F.sha2(F.col("_content").cast("binary"), 256)).alias("_digest")
     contents = docs.select(normalised(F.col(text_col), insensitive).alias("_content")).select("_content", digest)
     known = stored().select(F.col("digest").alias("_digest"))
     misses = contents if known.isEmpty() else contents.join(known, "_digest", "left_anti")
@@ -103,13 +103,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     def encode(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         count = _counter(shared.value, insensitive)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array([version] * b.num_rows, pa.string()), b.column("_digest"), pa.array(count(b.column("_content").to_pylist()), pa.int64())], names=["tokenizer", "digest", "n_tokens"])
 
     misses.select("_digest", "_content").mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    keyed = docs.withColumn("_content", normalised(F.col(text_col), insensitive)).withColumn("_digest", F.unhex(F.sha2(F.encode("_content", "UTF-8"), 256)))
+    keyed = docs.withColumn("_content", normalised(F.col(text_col), insensitive)).withColumn("_digest", F.unhex(F.sha2(F.col("_content").cast("binary"), 256)))
     keep = [c for c in docs.columns if c != text_col]
-    counts = stored().select(F.col("digest").alias("_digest"), "n_tokens")
+    # written, so that the join has a plain exchange on both sides and a hot content can be split
+    counts = stash(stored().select(F.col("digest").alias("_digest"), "n_tokens"), "token-counts")
     out = keyed.select(*keep, F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), "_digest").join(counts, "_digest", "left")
     return out.select(*keep, "n_bytes", "n_tokens")
 
@@ -120,6 +121,3 @@ def op1_query(spark, sf_dir, vocabulary: str = "word_bpe_49k.json", limit: int =
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = count_tokens(docs, public_tokenizers.path(vocabulary))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-
-
-__all__ = ["count_tokens", "op1_query", "space_insensitive", "stash"]
