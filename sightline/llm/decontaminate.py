@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, stash
+from .common import slices, stash
 from .near_dup import WordHash, _mix
 
 BITS, BLOCKS, RADIUS = 128, 8, 31
@@ -28,11 +28,12 @@ BITS, BLOCKS, RADIUS = 128, 8, 31
 ITEMS = 1000
 
 
-def tokens(text: str | None) -> list[str]:
-    return WORD_RE.findall(text.lower()) if text else []
+def tokens(text: str | None) -> list[bytes]:
+    """Lower-cased words; bytes are split at ASCII white space."""
+    return text.lower().encode().split() if text else []
 
 
-def shingles(words: list[str], memo: WordHash, n: int) -> np.ndarray:
+def shingles(words: list[bytes], memo: WordHash, n: int) -> np.ndarray:
     """64-bit hashes of the n-word shingles, in order; of the whole sequence if it is shorter."""
     if not words:
         return np.empty(0, np.uint64)
@@ -176,7 +177,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, words: int = 5, pe
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, memo = Index(shared.value, words, percent), WordHash()
-            for b in batches:
+            for b in slices(batches):
                 rows = [(d, *m) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in index.matches(t, memo)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))], names=["doc_id", "item_id", "similarity", "first_word", "n_words"])
 
@@ -193,7 +194,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, per
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, memo = Index(shared.value, words, percent), WordHash()
-            for b in batches:
+            for b in slices(batches):
                 yield b.filter(pa.array([not index.matches(t, memo) for t in b.column(at).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
