@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-WORD_RE = re.compile(WORD)
-#: ASCII-only lower-casing for Python's str.translate.
-ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def workdir(spark: SparkSession) -> str:
@@ -47,6 +44,7 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     what follows survives the loss of any executor."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    drop_at_end(df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stash_path = path
     return out
@@ -59,6 +57,12 @@ def unstash(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have an existing folder removed when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -85,6 +89,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def word_pieces(data: bytes, size: int = 1 << 22) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text as bytes, a few million bytes at a time. (bytes.split goes by ASCII
+    white space alone.)"""
+    at = 0
+    while len(data) - at > size:
+        cut = at + size
+        while cut < len(data) and data[cut] not in b" \t\n\x0b\x0c\r":
+            cut += 1
+        yield data[at:cut].split()
+        at = cut
+    yield data[at:].split() if at else data.split()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` clashes with it."""
     taken = {c.lower() for c in df.columns}

@@ -21,29 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import slices, stash
-from .near_dup import WordHash, _mix
+from .near_dup import WordHash, _mix, shingles, word_hashes
 
 BITS, BLOCKS, RADIUS = 128, 8, 31
 #: Items of one pass over the documents; a larger benchmark takes several passes. Bounds what is broadcast.
 ITEMS = 1000
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Lower-cased words; bytes are split at ASCII white space."""
-    return text.lower().encode().split() if text else []
-
-
-def shingles(words: list[bytes], memo: WordHash, n: int) -> np.ndarray:
-    """64-bit hashes of the n-word shingles, in order; of the whole sequence if it is shorter."""
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-    n = min(n, len(h))
-    with np.errstate(over="ignore"):
-        acc = np.full(len(h) - n + 1, n, np.uint64)
-        for i in range(n):
-            acc = _mix(acc ^ h[i : len(h) - n + 1 + i]) + np.uint64(0x9E3779B97F4A7C15)
-    return acc
+def words_of(text: str | None, memo: WordHash) -> np.ndarray:
+    """Hashes of the lower-cased words."""
+    return word_hashes((text or "").lower().encode(), memo)
 
 
 def _signs(s: np.ndarray) -> np.ndarray:
@@ -69,10 +56,10 @@ class Index:
         self.n, self.percent, memo = n, percent, WordHash()
         self.ids, self.counts, self.lengths, prints, known = [], [], [], [], defaultdict(set)
         for item_id, text in items:
-            words = tokens(text)
-            if not words:
+            words = words_of(text, memo)
+            if not len(words):
                 continue
-            s = shingles(words, memo, n)
+            s = shingles(words, n)
             self.ids.append(item_id)
             self.counts.append(Counter(s.tolist()))
             self.lengths.append(len(words))
@@ -108,13 +95,13 @@ class Index:
         """(item id, similarity, first word, words) of the best window for each item that the text holds."""
         if not text or not len(self.known):
             return []
-        words = tokens(text)
+        words = words_of(text, memo)
         best: dict[int, tuple[float, int]] = {}
         # items shorter than a shingle have windows of their own shingle size
         for n in sorted({min(self.n, k) for k in self.by_length}):
             if len(words) < n:
                 continue
-            s = shingles(words, memo, n)
+            s = shingles(words, n)
             at = np.searchsorted(self.known, s)
             at[at == len(self.known)] = 0
             hits = np.flatnonzero(self.known[at] == s)
@@ -134,9 +121,9 @@ class Index:
         return [(self.ids[i], sim, start, self.lengths[i]) for i, (sim, start) in sorted(best.items())]
 
     def _windows(self, s, starts, width, k, best):
-        for part in np.split(starts, np.arange(4096, len(starts), 4096)):
-            if not len(part):
-                continue
+        # windows that lie together, at most 4096 at a time
+        gaps = np.flatnonzero(np.diff(starts) > width) + 1
+        for part in (p[i : i + 4096] for p in np.split(starts, gaps) for i in range(0, len(p), 4096)):
             lo, hi = part[0], part[-1] + width
             sums = np.concatenate([np.zeros((1, BITS), np.int32), np.cumsum(_signs(s[lo:hi]), 0, dtype=np.int32)])
             w, i = self.lookup(_pack(sums[part - lo + width] - sums[part - lo]))

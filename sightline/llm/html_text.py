@@ -15,6 +15,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import slices
+
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -240,7 +242,7 @@ def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + (", " if keep else "") + "text string, n_chars long"
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [extract(x) for x in b.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=[*names, "text", "n_chars"])
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stash
+from .common import slices, stash, word_pieces
 from .components import connected_components
 
 K = 72
@@ -47,18 +47,26 @@ class WordHash(dict):
         return h
 
 
-def shingle_hashes(text: str | None, words: int, memo: WordHash) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word shingles; fewer words: the whole sequence as one."""
-    found = text.encode().lower().split() if text else []  # of bytes, both go by ASCII alone
-    if not found:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
-    n = min(words, len(h))
+def word_hashes(data: bytes, memo: WordHash) -> np.ndarray:
+    parts = [np.fromiter(map(memo.__getitem__, w), np.uint64, len(w)) for w in word_pieces(data)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def shingles(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n-word shingles, in order; of the whole sequence if it is shorter."""
+    if not len(h):
+        return h
+    n = min(n, len(h))
     with np.errstate(over="ignore"):
         acc = np.full(len(h) - n + 1, n, np.uint64)
         for i in range(n):
             acc = _mix(acc ^ h[i : len(h) - n + 1 + i]) + np.uint64(0x9E3779B97F4A7C15)
-    return np.unique(acc)
+    return acc
+
+
+def shingle_hashes(text: str | None, words: int, memo: WordHash) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's word shingles; fewer words: the whole sequence as one."""
+    return np.unique(shingles(word_hashes((text or "").encode().lower(), memo), words))  # bytes are lower-cased by ASCII alone
 
 
 def chunks_for(similarity: float, k: int = K) -> int:

@@ -89,11 +89,22 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: Window starts of a text that are looked at together; bounds memory for very long texts.
+CHUNK = 1 << 21
+
+
 def cells(b: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(gram hash, cell hash, first start, last start, anchor) for each anchor and each cell of its places.
 
     All windows of a cell share the bytes that the cell hash covers, at least ``length`` less a
     cell's width; windows that are equal lie in equal cells with equal hashes."""
+    if len(b) < CHUNK + length:
+        return _cells(b, length)
+    parts = [(at, _cells(b[at : at + CHUNK + length - 1], length)) for at in range(0, len(b) - length + 1, CHUNK)]
+    return tuple(np.concatenate([x[k] + at if k > 1 else x[k] for at, x in parts]) for k in range(5))
+
+
+def _cells(b: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     a, first, last, h = anchors(b, length)
     if not len(a):
         return h, h, a, a, a

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CHARS, fresh_path, slices, stash
+from .common import SPACE, SPACE_CHARS, drop_at_end, fresh_path, slices, stash, word_pieces
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 #: Words whose counts a Python worker remembers; the memo is emptied beyond this.
@@ -60,12 +60,14 @@ def _counter(spec: bytes, insensitive: bool):
         nonlocal memo
         out = []
         for text in texts:
-            words = text.encode().split()  # bytes are split at ASCII white space
-            new = [w for w in set(words) if w not in memo]
-            for i in range(0, len(new), 20_000):
-                part = new[i : i + 20_000]
-                memo.update(zip(part, whole([w.decode() for w in part]), strict=True))
-            out.append(sum(map(memo.__getitem__, words)))
+            n = 0
+            for words in word_pieces(text.encode()):
+                new = [w for w in set(words) if w not in memo]
+                for i in range(0, len(new), 20_000):
+                    part = new[i : i + 20_000]
+                    memo.update(zip(part, whole([w.decode() for w in part]), strict=True))
+                n += sum(map(memo.__getitem__, words))
+            out.append(n)
             if len(memo) > MEMO_WORDS:
                 memo = {}
         return out
@@ -89,8 +91,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     with open(tokenizer_path, "rb") as f:
         spec = f.read()
     version, insensitive = hashlib.sha256(spec).hexdigest(), space_insensitive(spec)
+    own = cache_path is None
     cache_path = cache_path or fresh_path(spark, "token-cache")
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)  # the folder exists from here on
+    if own:
+        drop_at_end(spark, cache_path)
     stored = lambda: spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     digest = F.unhex(F.sha2(F.col("_content").cast("binary"), 256)).alias("_digest")

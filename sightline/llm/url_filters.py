@@ -27,7 +27,7 @@ def split_url(url):
 
 
 def _digest(host, path):
-    return F.sha2(F.encode(F.concat(host, F.lit("\n"), path), "UTF-8"), 256)
+    return F.sha2(F.concat(host, F.lit("\n"), path).cast("binary"), 256)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:

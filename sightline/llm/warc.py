@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, open_input, stash, write_atomically
+from .common import drop_at_end, fresh_path, open_input, stash, write_atomically
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: RFC 4648
 #: Duplicate digests beyond this number are joined by a shuffle, not broadcast. A row is under 0.1 KB.
@@ -239,7 +239,9 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     spark = pages.sparkSession
     raw, whole = fresh_path(spark, "warc-raw"), fresh_path(spark, "warc")
     write_archives(pages, raw, id_col, url_col, payload_col, least_bytes)
-    return read_records(normalise(spark, raw, whole))
+    index = normalise(spark, raw, whole)
+    drop_at_end(spark, raw), drop_at_end(spark, whole)
+    return read_records(index)
 
 
 def op7_query(spark, sf_dir) -> DataFrame:

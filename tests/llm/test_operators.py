@@ -395,3 +395,25 @@ def test_html_layouts():
     assert html_text.extract(links) == f"T\n{LONG.strip()}\n{LONG.strip()}"
     own = f"<body><article><div class='article-header'><h1>T</h1></div><p>{LONG}</p><div class='share'>Tweet</div></article><div id=comments><p>{LONG * 9}</p></div></body>"
     assert html_text.extract(own) == f"T\n{LONG.strip()}"
+
+
+def test_word_pieces():
+    from sightline.llm.common import word_pieces
+
+    r = random.Random(1)
+    for _ in range(200):
+        data = "".join(r.choices("ab é \t\n\x0b\x0c\r\x85 ", k=r.randint(0, 60))).encode()
+        for size in (1, 7, 100):
+            assert [w for p in word_pieces(data, size) for w in p] == [m.encode() for m in re.findall(r"[^\x20\x09-\x0D]+", data.decode())]
+
+
+def test_cells_of_long_texts_in_chunks(monkeypatch):
+    data = np.frombuffer("".join(random.Random(2).choices("abcd ", k=5000)).encode(), np.uint8)
+
+    def windows(parts):
+        gram, cell, first, last, anchor = parts
+        return {(s, g, a) for g, x, z, a in zip(gram.tolist(), first.tolist(), last.tolist(), anchor.tolist(), strict=True) for s in range(x, z + 1)}
+
+    whole = windows(suffix_dedup.cells(data, 100))
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
+    assert windows(suffix_dedup.cells(data, 100)) == whole and len(whole) == 4901
