@@ -17,14 +17,14 @@ from .scalars import table
 
 
 @query("photo_upsert_merge", sql="""
-with t as (select o_orderkey as photo, o_totalprice as taken, o_orderstatus as status from orders where o_orderkey % 3 <> 0),
-i as (select l_orderkey as photo, l_extendedprice as taken from (select *, row_number() over (partition by l_orderkey order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_linenumber desc) as r from lineitem where l_orderkey % 2 = 0) where r = 1)
+with t as (select o_orderkey as photo, o_totalprice as taken, o_orderstatus as status from orders where o_orderpriority <> '5-LOW'),
+i as (select l_orderkey as photo, l_extendedprice as taken from (select *, row_number() over (partition by l_orderkey order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_linenumber desc) as r from lineitem where l_linestatus = 'O') where r = 1)
 select coalesce(t.photo, i.photo) as photo, coalesce(i.taken, t.taken) as taken, case when t.photo is null then 'new' else t.status end as status
 from t full join i on t.photo = i.photo
 """)
 def photo_upsert_merge(spark, sf_dir):
-    t = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("photo"), F.col("o_totalprice").alias("taken"), F.col("o_orderstatus").alias("status"))
-    i = table(spark, sf_dir, "lineitem").where("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("photo"), F.col("l_extendedprice").alias("taken"), F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_linenumber").alias("seq"))
+    t = table(spark, sf_dir, "orders").where("o_orderpriority <> '5-LOW'").select(F.col("o_orderkey").alias("photo"), F.col("o_totalprice").alias("taken"), F.col("o_orderstatus").alias("status"))
+    i = table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("photo"), F.col("l_extendedprice").alias("taken"), F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_linenumber").alias("seq"))
     return bank.upsert(t, i, ["photo"], "seq", {"status": F.lit("new")})
 
 
@@ -88,11 +88,11 @@ def course_classification(spark, sf_dir):
 
 
 @query("centroid_lookup", sql="""
-select d.doc_id, l.quality, coalesce(l.toxic, -1) as toxic from documents d left join labels l using (doc_id) where d.doc_id in (select doc_id from labels where quality = 1) or d.doc_id % 2 = 0
+select d.doc_id, l.quality, coalesce(l.toxic, -1) as toxic from documents d left join labels l using (doc_id) where d.doc_id in (select doc_id from labels where quality = 1) or d.lang = 'de'
 """)
 def centroid_lookup(spark, sf_dir):
-    d, l = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels")
-    wanted = d.join(l.where("quality = 1"), "doc_id", "left_semi").unionByName(d.where("doc_id % 2 = 0")).distinct()
+    d, l = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels")
+    wanted = d.join(l.where("quality = 1"), "doc_id", "left_semi").unionByName(d.where("lang = 'de'")).distinct()
     return wanted.join(l, "doc_id", "left").select("doc_id", "quality", F.coalesce("toxic", F.lit(-1)).alias("toxic"))
 
 
@@ -193,12 +193,12 @@ def identity_bank(spark, sf_dir):
 def _detections(spark, sf_dir):
     """Detections out of orders (photos), line items (boxes) and embeddings (vectors); a burst is 6 photos."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0").withColumn("seq", F.row_number().over(w)).where("seq <= 6")
+    li = table(spark, sf_dir, "lineitem").withColumn("seq", F.row_number().over(w)).where("seq <= 6")
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
     n = 200
     li = li.withColumn("vec_id", F.col("l_partkey") % n).join(e, "vec_id")
     bib = (100 + F.col("l_partkey") % n).cast("string")
-    return li.select(F.lit("p").alias("project_id"), F.floor(F.col("l_orderkey") / 24).cast("string").alias("burst_id"), F.col("l_orderkey").cast("string").alias("photo_id"), F.lit(None).cast("string").alias("camera_serial"), F.col("seq").cast("long").alias("seq"),
+    return li.select(F.lit("p").alias("project_id"), F.floor(F.col("l_orderkey") / 6).cast("string").alias("burst_id"), F.col("l_orderkey").cast("string").alias("photo_id"), F.lit(None).cast("string").alias("camera_serial"), F.col("seq").cast("long").alias("seq"),
                      F.col("l_quantity").alias("x1"), (F.col("seq") * 9.0).alias("y1"), (F.col("l_quantity") + 20).alias("x2"), (F.col("seq") * 9.0 + 30).alias("y2"), (0.5 + F.col("l_discount") * 4).alias("confidence"),
                      (F.col("l_orderkey") % 86400).cast("double").alias("sod"), (F.col("l_tax") > 0.06).alias("is_blurry"), (0.6 + F.col("l_discount") * 3).alias("face_quality"), F.col("v").alias("face_vec"), F.when(F.col("l_returnflag") != "N", F.col("v")).alias("reid_vec"),
                      F.when(F.col("l_linestatus") == "F", F.array(F.struct(bib.alias("bib_number"), (0.5 + F.col("l_tax") * 5).alias("ocr_confidence")))).otherwise(F.array().cast("array<struct<bib_number:string,ocr_confidence:double>>")).alias("bibs"))
@@ -206,7 +206,7 @@ def _detections(spark, sf_dir):
 
 def _resolved(spark, sf_dir):
     d = _detections(spark, sf_dir)
-    p = table(spark, sf_dir, "customer").where("c_custkey < 200").select(F.lit("p").alias("project_id"), (100 + F.col("c_custkey")).cast("string").alias("bib"), F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") * 71 % 15000).cast("double")).alias("finish"), (F.col("c_custkey") % 7 != 0).alias("valid"))
+    p = table(spark, sf_dir, "customer").select(F.lit("p").alias("project_id"), (100 + F.col("c_custkey")).cast("string").alias("bib"), F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") * 71 % 15000).cast("double")).alias("finish"), (F.col("c_custkey") % 7 != 0).alias("valid"))
     hints = bursts.timing_hints(d, p.where("finish is not null")).groupBy("project_id", "burst_id").agg(F.sort_array(F.collect_set("bib")).alias("hints"))
     clusters = written(bursts.cluster_bursts(d.join(hints, ["project_id", "burst_id"], "left")), "clusters")
     sods = d.groupBy("project_id", "burst_id").agg(F.min_by("sod", "photo_id").alias("sod"))
@@ -236,7 +236,7 @@ def scribe_tasks(spark, sf_dir):
 def _raw_bursts(spark, sf_dir):
     """Raw inference messages out of orders and line items, some of them faulty."""
     person = F.struct(F.when(F.col("l_linenumber") == 7, F.array(F.lit(1.0))).otherwise(F.array(F.lit(0.0), F.lit(0.0), F.lit(9.0), F.col("l_quantity"))).alias("bbox"), (0.5 + F.col("l_tax")).alias("confidence"), (F.col("l_tax") > 0.06).alias("is_blurry"), F.when(F.col("l_returnflag") != "N", F.array(F.lit(1.0).cast("float"))).alias("face_vec"))
-    images = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0").groupBy("l_orderkey").agg(F.collect_list(person).alias("persons"))
+    images = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(person).alias("persons"))
     o = images.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     image = F.struct(F.col("l_orderkey").cast("string").alias("photo_id"), F.lit("a.jpg").alias("path"), F.lit(True).alias("success"), F.col("persons"), F.lit(1920).alias("img_width"), F.lit(1280).alias("img_height"))
     return o.select(F.lit("raw_inference_results").alias("task_type"), F.lit(1).alias("schema_version"), F.lit("p").alias("project_id"), F.col("l_orderkey").cast("string").alias("burst_id"), F.when(F.col("o_orderstatus") != "P", F.when(F.col("o_orderstatus") == "F", 9).otherwise(3)).alias("priority"), F.when(F.col("o_custkey") % 9 == 0, "other").otherwise("full").alias("inference_profile"), F.lit(1.0).alias("processed_at"), F.lit(2.0).alias("inference_ms"), F.array(image).alias("images"))
@@ -244,7 +244,7 @@ def _raw_bursts(spark, sf_dir):
 
 @query("payload_violations", sql="""
 with i as (
-  select l_orderkey, bool_or(l_linenumber = 7) as bad_box, bool_or(l_tax <= 0.06) as sharp, bool_or(l_tax <= 0.06 and l_returnflag <> 'N') as bio from lineitem where l_orderkey % 10 = 0 group by l_orderkey)
+  select l_orderkey, bool_or(l_linenumber = 7) as bad_box, bool_or(l_tax <= 0.06) as sharp, bool_or(l_tax <= 0.06 and l_returnflag <> 'N') as bio from lineitem group by l_orderkey)
 select l_orderkey::varchar as burst_id,
        (o_orderstatus = 'P')::int + (o_custkey % 9 = 0)::int + bad_box::int + (o_orderstatus = 'F' and o_custkey % 9 <> 0 and sharp and not bio)::int as n
 from i join orders on l_orderkey = o_orderkey
@@ -256,12 +256,12 @@ def payload_violations(spark, sf_dir):
 
 
 @query("stream_bursts", sql="""
-select l_orderkey::varchar as burst_id, count(*) as persons from lineitem where l_orderkey % 10 = 0 and l_orderkey in (select o_orderkey from orders) group by l_orderkey
+select l_orderkey::varchar as burst_id, count(*) as persons from lineitem where l_orderkey in (select o_orderkey from orders) group by l_orderkey
 """)
 def stream_bursts(spark, sf_dir):
     src, out, ck = work_path(spark, "stream-src"), work_path(spark, "stream-out"), work_path(spark, "stream-ck")
     sent = messages.to_messages(_raw_bursts(spark, sf_dir))
-    sent.unionByName(sent.limit(50)).write.text(src)  # a redelivery
+    sent.unionByName(sent.where(F.get_json_object("value", "$.priority") == "9")).write.text(src)  # a redelivery of all finish-line bursts
     stream = once(messages.parse(messages.read_stream(spark, src, 4), RAW_INFERENCE)[0], "burst_id")
     run_available(stream, ck, lambda df, n: detections_of(df).groupBy("burst_id").agg(F.count("*").alias("persons")).write.mode("overwrite").parquet(f"{out}/batch={n}")).awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").schema("burst_id string, persons long").parquet(out)

@@ -95,14 +95,14 @@ def mask_overlap_best(spark, sf_dir):
 READ_SQL = """
 r as (
   select l_orderkey, (1000 + (l_orderkey * 7 + l_linenumber % 3) % 900)::varchar as bib, round(0.6 + l_discount * 3, 4) as conf,
-         row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as seq from lineitem where l_orderkey % 3 = 0),
+         row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as seq from lineitem),
 s as (select l_orderkey, case when seq % 4 = 0 then substr(bib, 2) else bib end as bib, conf, seq from r)
 """
 
 
 def _readings(spark, sf_dir):
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    r = table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0").select("l_orderkey", (1000 + (F.col("l_orderkey") * 7 + F.col("l_linenumber") % 3) % 900).cast("string").alias("bib"), F.round(0.6 + F.col("l_discount") * 3, 4).alias("conf"), F.row_number().over(w).alias("seq"))
+    r = table(spark, sf_dir, "lineitem").select("l_orderkey", (1000 + (F.col("l_orderkey") * 7 + F.col("l_linenumber") % 3) % 900).cast("string").alias("bib"), F.round(0.6 + F.col("l_discount") * 3, 4).alias("conf"), F.row_number().over(w).alias("seq"))
     return r.withColumn("bib", F.when(F.col("seq") % 4 == 0, F.substring("bib", 2, 99)).otherwise(F.col("bib")))
 
 
@@ -159,20 +159,20 @@ def first_time(spark, sf_dir):
 
 @query("dissimilarity", sql="""
 select a.vec_id, round(1 - max(case when list_cosine_similarity(a.embedding::double[], b.embedding::double[]) > 0 then list_cosine_similarity(a.embedding::double[], b.embedding::double[]) end), 6) as unlike
-from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id and b.vec_id % 5 = 0 group by a.vec_id
+from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id group by a.vec_id
 """)
 def dissimilarity(spark, sf_dir):
     from ..functions.vectors import cosine
 
     e = table(spark, sf_dir, "embeddings")
-    b = e.where("vec_id % 5 = 0").select("label", F.col("vec_id").alias("o"), F.col("embedding").alias("v"))
+    b = e.select("label", F.col("vec_id").alias("o"), F.col("embedding").alias("v"))
     sims = e.join(b, "label").where("vec_id <> o").select("vec_id", cosine(F.col("embedding"), F.col("v")).alias("s"))
     return sims.groupBy("vec_id").agg(F.round(1 - F.max(F.when(F.col("s") > 0, F.col("s"))), 6).alias("unlike"))
 
 
 @query("greedy_assignment", sql="""
 with recursive c as (
-  select l_orderkey as g, l_partkey % 4 as l, l_suppkey % 4 as r, max(l_extendedprice) as s from lineitem where l_orderkey % 20 = 0 group by all),
+  select l_orderkey as g, l_partkey % 4 as l, l_suppkey % 4 as r, max(l_extendedprice) as s from lineitem group by all),
 o as (select *, row_number() over (partition by g order by s desc, l, r) as k from c),
 t as (
   select g, k, l, r, s, true as taken, [l] as ls, [r] as rs from o where k = 1
@@ -184,7 +184,7 @@ t as (
 select g, l, r, s from t where taken
 """)
 def greedy_assignment(spark, sf_dir):
-    c = table(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0").groupBy(F.col("l_orderkey").alias("g"), (F.col("l_partkey") % 4).alias("l"), (F.col("l_suppkey") % 4).alias("r")).agg(F.max("l_extendedprice").alias("s"))
+    c = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("g"), (F.col("l_partkey") % 4).alias("l"), (F.col("l_suppkey") % 4).alias("r")).agg(F.max("l_extendedprice").alias("s"))
     return consensus.greedy_match(c, ["g"], "l", "r", "s")
 
 

@@ -58,10 +58,10 @@ def _readings(spark, sf_dir):
 
 
 def _known(spark, sf_dir):
-    return table(spark, sf_dir, "customer").where("c_custkey % 9 = 0").select(F.col("c_custkey").cast("string").alias("bib"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("bib"))
 
 
-READINGS_SQL = "r as (select p_partkey, (p_partkey * 37 % 1777)::varchar as reading from part), k as (select c_custkey::varchar as bib from customer where c_custkey % 9 = 0)"
+READINGS_SQL = "r as (select p_partkey, (p_partkey * 37 % 1777)::varchar as reading from part), k as (select c_custkey::varchar as bib from customer)"
 
 
 @query("fuzzy_bib_join", sql=f"with {READINGS_SQL} select p_partkey, reading, bib from r join k on {COMPAT_SQL.format(a='reading', b='bib')}")
@@ -110,7 +110,7 @@ def cosine_pairs(spark, sf_dir):
 
 KNN_SQL = """
 q as (select vec_id as query_id, embedding::double[] as v from embeddings where vec_id % 20 = 0),
-g as (select vec_id as identity_id, embedding::double[] as v, label from embeddings where vec_id % 20 <> 0),
+g as (select vec_id as identity_id, embedding::double[] as v, label from embeddings),
 n as (
   select query_id, identity_id, label, list_cosine_similarity(q.v, g.v) as similarity,
          row_number() over (partition by query_id order by list_cosine_similarity(q.v, g.v) desc, identity_id) as rank
@@ -121,7 +121,7 @@ n as (
 def _knn(spark, sf_dir, k=5):
     e = table(spark, sf_dir, "embeddings")
     q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec"))
-    g = e.where("vec_id % 20 <> 0").select(F.col("vec_id").alias("identity_id"), F.col("embedding").alias("vec"))
+    g = e.select(F.col("vec_id").alias("identity_id"), F.col("embedding").alias("vec"))
     return gallery.nearest(q, g, k), e
 
 
@@ -143,7 +143,7 @@ SMALL = Settings(gate_face=0.2, gate_reid=0.9, gate_reid_strong=0.95, gate_face_
 @query("course_tiebreak", sql="""
 with c as (
   select a.vec_id as intent, b.vec_id as identity_id, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) as s
-  from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id where a.vec_id % 10 = 0),
+  from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id ),
 p as (select *, 0.4 * s + 0.6 * 0.0 as score, row_number() over (partition by intent order by s desc, identity_id) as r, count(*) over (partition by intent) as n from c where s >= 0.2),
 t as (select intent, n, max(case when r = 1 then identity_id end) as id, max(case when r = 1 then score end) - max(case when r = 2 then score end) as gap from p where r <= 2 group by intent, n)
 select i.intent, case when t.n = 1 or t.gap >= 0.02 then t.id end as identity_id, coalesce(t.n, 0) as n_passing
@@ -153,7 +153,7 @@ def course_tiebreak(spark, sf_dir):
     from ..functions.vectors import cosine
 
     e = table(spark, sf_dir, "embeddings")
-    a = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("intent"), "label", F.col("embedding").alias("va"))
+    a = e.select(F.col("vec_id").alias("intent"), "label", F.col("embedding").alias("va"))
     b = e.select(F.col("vec_id").alias("identity_id"), "label", F.col("embedding").alias("vb"))
     c = a.join(b, "label").where("intent <> identity_id").select("intent", "identity_id", cosine(F.col("va"), F.col("vb")).alias("face_sim"), F.lit(0.0).alias("reid_sim"))
     return gallery.tiebreak(c, ["intent"], SMALL).select("intent", "identity_id", F.col("n_passing").cast("long").alias("n_passing"))
@@ -190,8 +190,8 @@ def course_resolve(spark, sf_dir):
 
 GHOST_SQL = """
 c as (select vec_id as confirmed_id, vec_id::varchar as bib, label, embedding::double[] as v from embeddings where vec_id % 3 = 0),
-g as (select vec_id as ghost_id, label, embedding::double[] as v from embeddings where vec_id % 3 = 1),
-subj as (select l_orderkey as photo_id, l_partkey % 500 as identity_id, l_linenumber, (l_partkey % 500 + l_linenumber % 3)::varchar as ocr_bib, l_suppkey from lineitem where l_orderkey % 5 = 0),
+g as (select vec_id as ghost_id, label, embedding::double[] as v from embeddings where vec_id % 3 <> 0),
+subj as (select l_orderkey as photo_id, l_partkey % 500 as identity_id, l_linenumber, (l_partkey % 500 + l_linenumber % 3)::varchar as ocr_bib, l_suppkey from lineitem),
 m as (select label, confirmed_id, bib, ghost_id, round(1 - list_cosine_similarity(c.v, g.v), 6) as face_dist from c join g using (label) where 1 - list_cosine_similarity(c.v, g.v) <= 1 - 0.15)
 """
 
@@ -200,8 +200,8 @@ def _ghosts(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     none = F.lit(None).cast("array<float>")
     both = e.select(F.col("vec_id").alias("id"), F.col("vec_id").cast("string").alias("bib"), "label", F.col("embedding").alias("face"), none.alias("reid"))
-    subjects = table(spark, sf_dir, "lineitem").where("l_orderkey % 5 = 0").select(F.col("l_orderkey").alias("photo_id"), (F.col("l_partkey") % 500).alias("identity_id"), (F.col("l_partkey") % 500 + F.col("l_linenumber") % 3).cast("string").alias("ocr_bib"))
-    confirmed, ghosts = both.where("id % 3 = 0"), both.where("id % 3 = 1").drop("bib")
+    subjects = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("photo_id"), (F.col("l_partkey") % 500).alias("identity_id"), (F.col("l_partkey") % 500 + F.col("l_linenumber") % 3).cast("string").alias("ocr_bib"))
+    confirmed, ghosts = both.where("id % 3 = 0"), both.where("id % 3 <> 0").drop("bib")
     return confirmed, ghosts, subjects, bank.ghost_matches(confirmed, ghosts, ["label"], 0.15, 0.85, 0.6)
 
 
@@ -239,19 +239,19 @@ def ghost_adoption(spark, sf_dir):
 
 
 @query("empty_ghost_purge", sql="""
-select vec_id as id from embeddings where exists (select 1 from lineitem where l_partkey % 700 = vec_id and l_orderkey % 50 = 0) or vec_id % 3 <> 1
+select vec_id as id from embeddings where exists (select 1 from lineitem where l_partkey % 700 = vec_id and l_quantity > 49 and l_returnflag = 'A') or vec_id % 3 <> 1
 """)
 def empty_ghost_purge(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
-    s = table(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 0").select((F.col("l_partkey") % 700).alias("identity_id"))
+    s = table(spark, sf_dir, "lineitem").where("l_quantity > 49 and l_returnflag = 'A'").select((F.col("l_partkey") % 700).alias("identity_id"))
     return bank.purge_empty(e, s, e.where("id % 3 = 1"))
 
 
 @query("cophoto_bibs", sql="""
-with c as (select distinct l_orderkey as photo_id, l_suppkey as cluster, l_partkey % 100 as bib from lineitem where l_orderkey % 10 = 0)
+with c as (select distinct l_orderkey as photo_id, l_suppkey as cluster, l_partkey % 100 as bib from lineitem)
 select a.cluster, list_sort(list(distinct b.bib)) as siblings from c a join c b on a.photo_id = b.photo_id and a.cluster <> b.cluster group by a.cluster
 """)
 def cophoto_bibs(spark, sf_dir):
-    c = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0").select(F.col("l_orderkey").alias("photo_id"), F.col("l_suppkey").alias("cluster"), (F.col("l_partkey") % 100).alias("bib")).distinct()
+    c = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("photo_id"), F.col("l_suppkey").alias("cluster"), (F.col("l_partkey") % 100).alias("bib")).distinct()
     other = c.select("photo_id", F.col("cluster").alias("_o"), F.col("bib").alias("_b"))
     return c.join(other, "photo_id").where("cluster <> _o").groupBy("cluster").agg(F.sort_array(F.collect_set("_b")).alias("siblings"))
