@@ -18,6 +18,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .common import free_name, slices, stash
 
@@ -96,7 +97,7 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
     """``docs`` with the text compressed, and _version: texts cross the shuffles at a third of their size."""
     names = [*docs.columns, "_version"]
     at = names.index(text_col)
-    fields = [f"`{f.name}` {'binary' if f.name == text_col else f.dataType.simpleString()}" for f in docs.schema.fields]
+    fields = [StructField(f.name, BinaryType() if f.name == text_col else f.dataType) for f in docs.schema.fields]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3).compress
@@ -105,7 +106,7 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], names=names)
 
     version = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.withColumn("_version", version).mapInArrow(pack, ", ".join([*fields, "_version long"]))
+    return docs.withColumn("_version", version).mapInArrow(pack, StructType([*fields, StructField("_version", LongType())]))
 
 
 def _asked_lines(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -198,27 +199,27 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = stash(dropped_lines(docs, id_col, text_col, least_chars).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines")
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "_gone")
     n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
-    packed = _packed(docs, text_col).withColumn("_key", F.col(id_col))
-    joined = packed.join(gone, F.col("_key").eqNullSafe(F.col("_d")) & (F.col("_version") == F.col("_v")), "left")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    at = docs.columns.index(text_col)
-    names = [*docs.columns, n_lines, n_dropped]
+    # other columns travel in one struct, so that no name of theirs can clash with those used here
+    others = [c for c in docs.columns if c != text_col]
+    held = docs.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in others]).alias("_held"), F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    joined = _packed(held, "_text").join(gone, F.col("_key").eqNullSafe(F.col("_d")) & (F.col("_version") == F.col("_v")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for b in slices(batches):
             texts, lines, dropped = [], [], []
-            for data, drop in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+            for data, drop in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 text = None if data is None else unpack(data).decode()
                 parts = [] if text is None else text.split("\n")
                 if drop:
                     out = set(drop)
                     text = "\n".join(x for i, x in enumerate(parts) if i not in out)
                 texts.append(text), lines.append(len(parts)), dropped.append(len(drop or ()))
-            kept = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(names) - 2)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=["_held", "_text", "_lines", "_dropped"])
 
-    return joined.select(*[f"`{c}`" for c in docs.columns], "_gone").mapInArrow(cut, ", ".join([*fields, f"{n_lines} long", f"{n_dropped} long"]))
+    schema = StructType([StructField("_held", held.schema["_held"].dataType), StructField("_text", StringType()), StructField("_lines", LongType()), StructField("_dropped", LongType())])
+    out = joined.select("_held", "_text", "_gone").mapInArrow(cut, schema)
+    return out.select(*[F.col("_text").alias(c) if c == text_col else F.col("_held").getField(c).alias(c) for c in docs.columns], F.col("_lines").alias(n_lines), F.col("_dropped").alias(n_dropped))
 
 
 def op8_query(spark, sf_dir) -> DataFrame:

@@ -80,7 +80,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
 
     tokenizer_path: a ``tokenizers`` JSON file, read on the driver and sent with the tasks.
     cache_path: a Parquet folder of CACHE_SCHEMA that is read and appended to; a new one in the
-    work folder if None. A null text counts as empty. Other columns stay as they are; rows that
+    work folder if None. A null text counts as empty. Other columns stay as they are, but for n_bytes
+    and n_tokens, which are replaced; rows that
     repeat get the same count. A count that is appended twice by a doubled run does no harm: the
     cache is read distinct.
     """
@@ -112,12 +113,13 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
             yield pa.RecordBatch.from_arrays([pa.array([version] * b.num_rows, pa.string()), b.column("_digest"), pa.array(count(b.column("_content").to_pylist()), pa.int64())], names=["tokenizer", "digest", "n_tokens"])
 
     misses.select("_digest", "_content").mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    keyed = docs.withColumn("_content", normalised(F.col(text_col), insensitive)).withColumn("_digest", F.unhex(F.sha2(F.col("_content").cast("binary"), 256)))
-    keep = [c for c in docs.columns if c != text_col]
+    # other columns travel in one struct, so that no name of theirs can clash with those used here
+    keep = [c for c in docs.columns if c != text_col and c.lower() not in ("n_bytes", "n_tokens")]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in keep]).alias("_held"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(normalised(F.col(text_col), insensitive).cast("binary"), 256)).alias("_digest"))
     # written, so that the join has a plain exchange on both sides and a hot content can be split
     counts = stash(stored().select(F.col("digest").alias("_digest"), "n_tokens"), "token-counts")
-    out = keyed.select(*keep, F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), "_digest").join(counts, "_digest", "left")
-    return out.select(*keep, "n_bytes", "n_tokens")
+    return keyed.join(counts, "_digest", "left").select(*[F.col("_held").getField(c).alias(c) for c in keep], "n_bytes", "n_tokens")
 
 
 def op1_query(spark, sf_dir, vocabulary: str = "word_bpe_49k.json", limit: int = 2048) -> DataFrame:

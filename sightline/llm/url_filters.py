@@ -57,7 +57,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     names = ranked.select(F.col("rank").alias("_rank"), F.concat("host", "path").alias("_rule"), F.col("verdict").alias("_verdict"))
     side, names = (F.broadcast(side), F.broadcast(names)) if small else (side, names)
 
-    base = pages.select(*held, F.col(url_col).alias("_url"))
+    # the page's columns travel in one struct, so that no name of theirs can clash with those used here
+    base = pages.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in held]).alias("_held"), F.col(url_col).alias("_url"))
     host, path = split_url(F.col("_url"))
     base = base.withColumns({"_host": host, "_path": path, "_row": F.monotonically_increasing_id()}).drop("_url")
     labels = F.split("_host", r"\.")
@@ -66,9 +67,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     e = base.withColumn("_suffix", F.explode(suffixes)).withColumn("_prefix", F.explode_outer(prefixes))
     e = e.withColumn("_digest", _digest(F.col("_suffix"), F.col("_prefix"))).drop("_suffix", "_prefix").withColumn("_short8", F.substring("_digest", 1, 8))
     hit = e.join(side, (F.col("_short8") == F.col("_short")) & (F.col("_digest") == F.col("_full")), "left")
-    best = hit.groupBy("_row", *held, "_host", "_path").agg(F.max("rank").alias("_best"))
+    best = hit.groupBy("_row", "_held", "_host", "_path").agg(F.max("rank").alias("_best"))
     out = best.join(names, F.col("_best") == F.col("_rank"), "left")
-    return out.select(*held, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.coalesce("_verdict", F.lit(default)).alias("verdict"))
+    return out.select(*[F.col("_held").getField(c).alias(c) for c in held], F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.coalesce("_verdict", F.lit(default)).alias("verdict"))
 
 
 #: The contract's rules.

@@ -417,3 +417,17 @@ def test_cells_of_long_texts_in_chunks(monkeypatch):
     whole = windows(suffix_dedup.cells(data, 100))
     monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
     assert windows(suffix_dedup.cells(data, 100)) == whole and len(whole) == 4901
+
+
+def test_clashing_names(spark, tokenizer):
+    clash = ["_held", "_version", "_key", "_gone", "_text", "_digest", "_content", "n_tokens", "_row", "_host", "_url", "digest", "n_lines", "_d"]
+    line = "a line that is long enough to be compared"
+    df = spark.createDataFrame([(1, line, *clash), (2, line, *clash)], "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in clash))
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*df.columns, "_n_lines", "n_dropped"]
+    assert sorted((r.doc_id, r.text, r._row) for r in out.collect()) == [(1, line, "_row"), (2, "", "_row")]
+    counted = token_counts.count_tokens(df, tokenizer[0]).collect()
+    assert {r.doc_id: r.n_tokens for r in counted} == dict.fromkeys((1, 2), tokenizer[1](line)) and counted[0]._held == "_held"
+    pages = df.withColumnsRenamed({"doc_id": "page_id", "text": "url"}).withColumn("url", F.lit("http://x.net/fr/1"))
+    judged = url_filters.judge_urls(pages, spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")).collect()
+    assert [(r.rule, r._host) for r in judged] == [("net/fr/", "_host")] * 2
