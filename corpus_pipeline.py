@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that equal or nearly equal an earlier one; n_chars is that of the new text."""
-    out = dedup_lines(docs).select(*docs.columns)
+    out = dedup_lines(docs, exact_short=True).select(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -22,10 +22,11 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from .common import free_name, slices, stash
 
-#: Lines with fewer characters are left alone: one edit makes another word of them.
+#: Lines with fewer characters are not compared by edits, as one edit makes another word of them; see ``exact_short``.
 LEAST_CHARS = 20
 _ODD_SPACE = re.compile(r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]")
 _HALF = 1 << 63
+_NO_ENDS = (None, None, None, None)
 
 
 def normal_line(line: str) -> str:
@@ -46,10 +47,11 @@ def _end_keys(norm: str, n: int) -> tuple[int, int, int | None, int | None]:
     return *out, hashed(norm[:j], 2 * j), hashed(norm[n - j :], 2 * j + 1)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
-    """at, h1, h2 (128 bits of the line's normal form) and end keys of all lines that count."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int, exact_short: bool) -> DataFrame:
+    """at, h1, h2 (128 bits of the line's normal form) and end keys of all lines that count; short lines have no end keys."""
     id_type = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "version", "line_no", "h1", "h2", "k0", "k1", "k2", "k3"]
+    shortest = 1 if exact_short else least_chars
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -57,9 +59,9 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> Dat
             for text in b.column(2).to_pylist():
                 before = len(rows)
                 for i, line in enumerate(text.split("\n")):
-                    if len(line) >= least_chars and (n := len(norm := normal_line(line))) >= least_chars:
+                    if len(line) >= shortest and (n := len(norm := normal_line(line))) >= shortest:
                         h = xxhash.xxh3_128_intdigest(norm.encode())
-                        rows.append((i, (h >> 64) - _HALF, (h & (1 << 64) - 1) - _HALF, *_end_keys(norm, n)))
+                        rows.append((i, (h >> 64) - _HALF, (h & (1 << 64) - 1) - _HALF, *(_end_keys(norm, n) if n >= least_chars else _NO_ENDS)))
                 source.append(len(rows) - before)
             same = pa.array(np.repeat(np.arange(len(source)), source))
             cols = zip(*rows, strict=True) if rows else [[]] * 7
@@ -134,15 +136,16 @@ def _asked_lines(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str)
     return found.select(at, F.char_length("norm").alias("n"), "norm", "h1", "h2").dropDuplicates(["h1", "h2"])
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, exact_short: bool = False) -> DataFrame:
     """(doc_id, version, line_no) of the lines to drop. version is a hash of the text, so that rows that
     repeat an id with another text are told apart; rows equal in both share their result.
 
     A line is dropped if an equal or one-edit line (insertion, deletion or substitution of one
     character, in normal form) stands earlier, in the order of doc_id (null last), version and line
-    number, whether or not that earlier line is itself dropped.
+    number, whether or not that earlier line is itself dropped. Lines below ``least_chars`` are left
+    alone, or with ``exact_short`` dropped if an equal line stands earlier.
     """
-    occurrences = stash(_lines(docs, id_col, text_col, least_chars), "lines")
+    occurrences = stash(_lines(docs, id_col, text_col, least_chars, exact_short), "lines")
     names = ["k0", "k1", "k2", "k3"]
     distinct = stash(occurrences.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), *[F.first(k).alias(k) for k in names]), "distinct-lines")
 
@@ -190,13 +193,13 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select("at.doc_id", "at.version", "at.line_no")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, exact_short: bool = False) -> DataFrame:
     """``docs`` with dropped lines cut out of the text, and n_lines and n_dropped in new columns.
 
     A null text stays null, with 0 lines; other texts keep their remaining lines as they are, and
-    lines without words or below ``least_chars`` are never dropped. No row is lost.
+    lines without words, and without ``exact_short`` those below ``least_chars``, are never dropped. No row is lost.
     """
-    gone = stash(dropped_lines(docs, id_col, text_col, least_chars).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines")
+    gone = stash(dropped_lines(docs, id_col, text_col, least_chars, exact_short).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines")
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "_gone")
     n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
     # other columns travel in one struct, so that no name of theirs can clash with those used here
@@ -224,5 +227,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op8_query(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, exact_short=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

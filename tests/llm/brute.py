@@ -61,11 +61,15 @@ def edit_at_most_one(a, b):
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
 
 
-def dedup_lines(rows, least):
+def dedup_lines(rows, least, exact_short=False):
     """{doc_id: text left}; ids are distinct."""
     lines = sorted((d, k, " ".join(WORD.findall(x)), x) for d, t in rows if t is not None for k, x in enumerate(t.split("\n")))
-    earlier, drop = [], defaultdict(set)
+    earlier, short, drop = [], set(), defaultdict(set)
     for d, k, norm, _ in lines:
+        if exact_short and 0 < len(norm) < least:
+            if norm in short:
+                drop[d].add(k)
+            short.add(norm)
         if len(norm) >= least:
             if any(edit_at_most_one(norm, o) for o in earlier):
                 drop[d].add(k)

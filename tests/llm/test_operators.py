@@ -316,6 +316,16 @@ def test_line_dedup_of_repeated_rows(spark):
     assert got == [(-1, ""), (1, line), (1, line), (2, "other")]
 
 
+def test_line_dedup_of_short_lines(spark):
+    r = random.Random(3)
+    long = "a line that is long enough to be compared"
+    pool = ["}", "Read more", "Read  more ", "Read mare", "", "  ", "日本", "nineteen characters", "nineteen character", "twenty characters ok", long, long + "!"]
+    rows = [(900, None), *((i, "\n".join(r.choices(pool, k=4))) for i in range(20))]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {x.doc_id: x.text for x in line_dedup.dedup_lines(df, exact_short=True).collect()}
+    assert got == brute.dedup_lines(rows, 20, exact_short=True)
+
+
 # ---- mixing ----
 
 

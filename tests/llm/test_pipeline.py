@@ -71,3 +71,9 @@ def test_run(spark):
 def test_registry():
     assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_short_lines_go_too(spark, tmp_path):
+    df = spark.createDataFrame([(1, "Share this", "en", "a", 10, "x"), (2, "Share this\nand more", "en", "a", 19, "x")], COLUMNS)
+    got = sorted((r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.lines(spark, df, str(tmp_path)).collect())
+    assert got == [(1, "Share this", 10), (2, "and more", 8)]
