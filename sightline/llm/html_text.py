@@ -176,9 +176,15 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
+def _links(node: Node) -> bool:
+    """Over a third of the element's characters are link text."""
+    return 3 * node.link_chars > node.chars
+
+
 def choose(root: Node) -> list[Node]:
-    """The subtree of the largest density sum among those at or above the body path's threshold; of
-    articles and sections, also those beside it that reach the threshold."""
+    """The subtree of the largest density sum among those at or above the body path's threshold, widened
+    to the topmost element above it that adds text which is poor in links; of articles, also those
+    beside it. Blocks of links beside the path that the widening passes are cut."""
     nodes = measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     total = lambda n: sum(k.density for k in n.kids if type(k) is Node and not k.cut)
@@ -196,12 +202,23 @@ def choose(root: Node) -> list[Node]:
         if up.tag in ("article", "main"):
             chosen = up
         up = up.parent
-    beside = [chosen]
-    if chosen.tag in ("article", "section") and chosen is not body:
-        beside = [k for k in chosen.parent.kids if type(k) is Node and not k.cut and k.chars and (k is chosen or k.tag == chosen.tag and (k.tag == "article" or k.density >= threshold))]
-    if chosen is not body and sum(n.chars for n in beside) < 0.5 * body.chars and chosen.tag not in ("article", "main"):
+    if chosen.tag in ("article", "main"):
+        if chosen.tag == "article":
+            return [k for k in chosen.parent.kids if type(k) is Node and not k.cut and k.chars and (k is chosen or k.tag == "article")]
+        return [chosen]
+    top, apart, passed, at = chosen, [], [], chosen
+    while at is not body and at.parent is not None:
+        up = at.parent
+        others = [k for k in up.kids if type(k) is Node and not k.cut and k.chars and k is not at]
+        passed += [k for k in others if k.tag in BLOCK and _links(k)]
+        if not all(map(_links, others)) or any(type(k) is str and any(map(str.isalnum, unescape(k))) for k in up.kids):
+            top, apart = up, passed[:]
+        at = up
+    if top.chars - sum(n.chars for n in apart) < 0.5 * body.chars:
         return [body]
-    return beside
+    for n in apart:
+        n.cut = True
+    return [top]
 
 
 def text_of(node: Node) -> str:

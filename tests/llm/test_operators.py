@@ -407,6 +407,15 @@ def test_html_layouts():
     assert html_text.extract(own) == f"T\n{LONG.strip()}"
 
 
+def test_html_articles_split_over_elements():
+    text = [f"{i} {LONG.strip()}" for i in range(10)]
+    p = "".join
+    split = f"<body><div class=top><a href=1>Home</a></div><div id=content><h1>T</h1><div class=lead>{p(f'<p>{x}</p>' for x in text[:3])}</div><ul><li><a href=2>two</a></ul><div class=text>{p(f'<p>{x}</p>' for x in text[3:])}</div>End.</div></body>"
+    assert html_text.extract(split) == "\n".join(["T", *text, "End."])
+    deep = f"<body><div><h2>Head</h2><div><div>{p(f'<p>{x}</p>' for x in text)}</div></div><span>Short.</span></div><div><a href=1>one</a> <a href=2>two</a></div></body>"
+    assert html_text.extract(deep) == "\n".join(["Head", *text, "Short."])
+
+
 def test_word_pieces():
     from sightline.llm.common import word_pieces
 
