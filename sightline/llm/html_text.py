@@ -20,8 +20,10 @@ from .common import slices
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre search section summary table caption colgroup tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("head nav footer aside form script style noscript iframe noembed noframes object embed applet svg canvas math button select textarea input label template dialog menu title xmp audio video map".split())
+BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre search section summary table caption colgroup tbody td tfoot th thead tr ul xmp".split())
+DROPPED = frozenset("head nav footer aside form script style noscript iframe noembed noframes embed applet svg canvas button select textarea input template dialog menu title audio video".split())
+#: Of these, the ones that a page's builder may put around its article.
+AROUND = frozenset("nav footer aside form dialog menu".split())
 #: An open element of the key ends where one of the value's elements starts, up to the stopping elements.
 P_ENDS = BLOCK - {"body", "html", "option", "tbody", "td", "tfoot", "th", "thead", "tr", "caption", "colgroup"}
 SAME_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tbody", "tfoot", "thead"}, "tbody": {"tbody", "tfoot", "thead"}}
@@ -36,6 +38,13 @@ NAMES = frozenset(
     "comment comments commentlist disqus respond share sharing social related recommended recommendations widget widgets "
     "pagination pager toolbar copyright disclaimer".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus respond".split())
+#: What may stand beside a name part of boilerplate in a class or id that still means boilerplate; has-sidebar, social-science or content-sidebar-wrap do not.
+BESIDE = frozenset(
+    "area bar block bottom box btn button buttons col column component container desktop fixed float form global group header heading "
+    "icon icons inner inline item items label large left link links list main media mobile outer page panel post posts primary right row secondary "
+    "section site slot small sticky story stories articles thread title top unit wrap wrapper wp js id".split()
+)
 #: Boilerplate of a page, but not within its article.
 PAGE_NAMES = frozenset("header masthead topbar".split())
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
@@ -43,10 +52,13 @@ _ATTR = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+)")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
+SOFT, HARD = 1, 2
+
+
 class Node:
     __slots__ = ("tag", "parent", "kids", "cut", "chars", "link_chars", "tags", "link_tags", "density")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool):
+    def __init__(self, tag: str, parent: Node | None, cut: int):
         self.tag, self.parent, self.kids, self.cut = tag, parent, [], cut
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = 0.0
@@ -58,29 +70,70 @@ def _in_article(node: Node | None) -> bool:
     return node is not None
 
 
-def _boilerplate(tag: str, attrs: str, parent: Node | None) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag == "header" and not _in_article(parent):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+def _named(value: str, names: frozenset) -> bool:
+    """One of the names in a class or id is made of parts in ``names``, and nothing else that says something."""
+    for name in value.split():
+        parts = [x for x in _PARTS.split(name) if x]
+        if not names.isdisjoint(parts) and all(x in names or x in NAMES or x in BESIDE or x[0].isdigit() for x in parts):
+            return True
+    return False
+
+
+def _boilerplate(tag: str, attrs: str, parent: Node | None) -> int:
+    """0: none. SOFT: unless the article turns out to be in it. HARD: whatever is in it."""
+    found = SOFT if tag in AROUND or tag == "header" and not _in_article(parent) else HARD if tag in DROPPED else 0
+    if found == HARD or not attrs or tag in ("html", "body", "article", "main"):
+        return found
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            parts = _PARTS.split(value)
-            if not NAMES.isdisjoint(parts) or not PAGE_NAMES.isdisjoint(parts) and not _in_article(parent):
-                return True
+            if _named(value, COMMENTS):
+                return HARD
+            if _named(value, NAMES) or _named(value, PAGE_NAMES) and not _in_article(parent):
+                found = SOFT
         if name == "role" and value.strip() in ROLES:
-            return True
-        if name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|$|/)", attrs))
+            found = SOFT
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return HARD
+    return HARD if re.search(r"(?:^|\s)hidden(?:\s|$|/)", _ATTR.sub(" ", attrs), re.I) else found
+
+
+def _release(root: Node) -> None:
+    """Undo soft cuts of elements that hold the page's article or main, or most of its text outside links."""
+    soft, outside, body, order = [], False, root, []
+    stack = [(root, False, False)]
+    while stack:
+        node, within, linked = stack.pop()
+        order.append(node)
+        within = within or bool(node.cut)
+        linked = linked or node.tag == "a"
+        soft += [node] if node.cut == SOFT else []
+        outside |= not within and node.tag in ("article", "main")
+        body = node if node.tag == "body" and body is root else body
+        for kid in node.kids:
+            if type(kid) is not str:
+                if kid.cut != HARD:
+                    stack.append((kid, within, linked))
+            elif not linked:
+                node.chars += len("".join(kid.split()))
+    if soft:
+        holds = set()
+        for node in reversed(order):
+            if node.parent is not None:
+                node.parent.chars += node.chars
+                if node.tag in ("article", "main") or node in holds:
+                    holds.add(node.parent)
+        for node in soft:
+            most = 2 * node.chars > body.chars
+            if node in holds and (most or not outside) or most and not outside:
+                node.cut = 0
+    for node in order:
+        node.chars = 0
 
 
 def parse(html: str) -> Node:
     """The tree of elements and texts. Never fails: stray end tags are ignored, open elements end with the page."""
-    root = Node("#root", None, False)
+    root = Node("#root", None, 0)
     at, pos, size = root, 0, len(html)
     while pos < size:
         m = _TAG.search(html, pos)
@@ -134,10 +187,12 @@ def parse(html: str) -> Node:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, pos)
-            node.kids.append(html[pos : end.start() if end else size])
+            raw = html[pos : end.start() if end else size]
+            node.kids.append(raw.replace("&", "&amp;") if tag == "xmp" else raw)
             pos = end.end() if end else size
             continue
         at = node
+    _release(root)
     return root
 
 
@@ -217,7 +272,7 @@ def choose(root: Node) -> list[Node]:
     if top.chars - sum(n.chars for n in apart) < 0.5 * body.chars:
         return [body]
     for n in apart:
-        n.cut = True
+        n.cut = SOFT
     return [top]
 
 

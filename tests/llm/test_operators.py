@@ -416,6 +416,17 @@ def test_html_articles_split_over_elements():
     assert html_text.extract(deep) == "\n".join(["Head", *text, "Short."])
 
 
+@pytest.mark.parametrize("start, end", [("<div class='content no-sidebar'>", "</div>"), ("<div class='site has-sidebar'><article>", "</article></div>"), ("<div id=content-sidebar-wrap>", "</div>"), ("<form action=/><div>", "</div></form>"), ("<div class=sidebar><main>", "</main></div>"), ("<div class='related-work'>", "</div>"), ("<div class='social-science'>", "</div>")])
+def test_html_wrappers_named_like_boilerplate(start, end):
+    page = f"<body><nav><a href=/>Home</a></nav>{start}<p title='the hidden cost'>{LONG}</p><p>{LONG}</p>{end}<div class='site-footer'>Us</div><div class='ad-slot-2'>Buy</div><div hidden=''>gone</div><p HIDDEN>gone</p></body>"
+    assert html_text.extract(page) == "\n".join([LONG.strip()] * 2)
+
+
+def test_html_text_that_is_not_boilerplate():
+    page = f"<body><div><p>{LONG}</p><p>Let <math><mi>x</mi></math> be <label>one</label></p><xmp>a &lt; <b></xmp><object>fall back</object></div><div class='comments-area'><article><p>{LONG * 3}</p></article></div></body>"
+    assert html_text.extract(page) == f"{LONG.strip()}\nLet x be one\na &lt; <b>\nfall back"
+
+
 def test_word_pieces():
     from sightline.llm.common import word_pieces
 
