@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Each benchmark item is a weighted set of word shingles (weights are counts) and a 128-bit SimHash.
-Every window of a document that is as long as an item, at every word, gets a fingerprint too; only
+Every window of a document that is as long as an item, at every word, gets a fingerprint too (a
+document shorter than an item is one window, compared with it directly); only
 windows without any shingle of an item of their length are passed over, as their similarity to all
 such items is 0. Fingerprints meet in a multi-index: within radius r = 31, one of 8 blocks of 16
 bits differs in at most 3, and the index holds every item under all block values that far away, so
@@ -106,10 +107,12 @@ class Index:
             at[at == len(self.known)] = 0
             hits = np.flatnonzero(self.known[at] == s)
             wanted: dict[int, list[int]] = defaultdict(list)
+            longer = set()
             for p in hits.tolist():
                 for k in self.known_lengths[at[p]]:
-                    if min(self.n, k) == n and k <= len(words):
-                        wanted[k].append(p)
+                    if min(self.n, k) == n:
+                        longer.add(k) if k > len(words) else wanted[k].append(p)
+            self._whole(s, n, longer, best)
             for k, places in wanted.items():
                 width = k - n + 1
                 places = np.array(places)
@@ -118,7 +121,19 @@ class Index:
                 np.add.at(mark, np.minimum(places + 1, len(s) - width + 1), -1)
                 starts = np.flatnonzero(np.cumsum(mark[: len(s) - width + 1]) > 0)
                 self._windows(s, starts, width, k, best)
-        return [(self.ids[i], sim, start, self.lengths[i]) for i, (sim, start) in sorted(best.items())]
+        return [(self.ids[i], sim, start, min(self.lengths[i], len(words))) for i, (sim, start) in sorted(best.items())]
+
+    def _whole(self, s, n, lengths, best):
+        """The text as one window, against the items of these lengths, which are above its own."""
+        # of the larger counts' sum, the item's shingles alone are so many
+        near = [k for k in lengths if 100 * len(s) >= self.percent * (k - n + 1)]
+        here = Counter(s.tolist()) if near else None
+        for k in near:
+            for item in self.by_length[k].tolist():
+                both = sum((here & self.counts[item]).values())
+                union = len(s) + k - n + 1 - both
+                if 100 * both >= self.percent * union:
+                    best[item] = (both / union, 0)
 
     def _windows(self, s, starts, width, k, best):
         # windows that lie together, at most 4096 at a time
@@ -152,7 +167,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, words: int = 5, pe
 
     A document holds an item if one of its windows of as many words as the item has a weighted
     shingle similarity (sum of smaller counts over sum of larger counts) of ``percent`` or more and
-    a fingerprint within the radius; the best window is reported, the first on ties. Words are
+    a fingerprint within the radius; the best window is reported, the first on ties. A document of
+    fewer words than the item is one window, with n_words of its own and no fingerprint asked. Words are
     lower-cased. Null and wordless texts hold nothing, items without words are held by nothing, and
     items with equal texts are each reported. Whole texts are searched, row by row, so no shuffle
     and no skew. The benchmark is taken in passes of about ``items_a_pass`` items, by a hash of their ids.

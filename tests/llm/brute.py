@@ -99,6 +99,22 @@ def contaminated(rows, items, k=5, percent=80):
     return dict(out)
 
 
+def contaminated_whole(rows, items, k=5, percent=80):
+    """{doc_id: set of item ids}, of the items that are longer than the text"""
+    toks = lambda t: WORD.findall((t or "").lower())
+    out = defaultdict(set)
+    for d, t in rows:
+        w = toks(t)
+        for i, it in items:
+            q = toks(it)
+            n = min(k, len(q))
+            if len(w) < len(q):
+                want, have = (Counter(tuple(x[j : j + n]) for j in range(len(x) - n + 1)) for x in (q, w))
+                if 100 * (want & have).total() >= percent * (want | have).total():
+                    out[d].add(i)
+    return dict(out)
+
+
 def targets(sizes, cap=3, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
     w = {n: weights[i % len(weights)] for i, n in enumerate(names)}

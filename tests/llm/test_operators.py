@@ -128,6 +128,31 @@ def test_decontamination(spark):
     assert decontaminate.find_contamination(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_texts_shorter_than_an_item(spark):
+    r = random.Random(9)
+    items = [(i, " ".join(r.choices(VOCAB, k=k))) for i, k in enumerate([59, 59, 58, 30, 9, 6, 5, 4, 3])]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        for less in range(0, min(len(w), 14)):
+            rows += [(len(rows), " ".join(w[less:])), (len(rows) + 1, " ".join(w[: len(w) - less]).upper())]
+            part = w[: len(w) - less]
+            part[r.randrange(len(part))] = "other"
+            rows.append((len(rows), " ".join(part)))
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    short, same = brute.contaminated_whole(rows, items), brute.contaminated(rows, items)
+    want = {d: short.get(d, set()) | same.get(d, set()) for d in {*short, *same}}
+    assert len(short) > 20
+    found = decontaminate.find_contamination(docs, bench).collect()
+    got = {}
+    for x in found:
+        got.setdefault(x.doc_id, set()).add(x.item_id)
+    assert got == want
+    assert all(x.n_words == min(len(rows[x.doc_id][1].split()), len(items[x.item_id][1].split())) for x in found)
+    left = {x.doc_id for x in decontaminate.drop_contaminated(docs, bench).select("doc_id").collect()}
+    assert left == {d for d, _ in rows} - set(want)
+
+
 def test_index_finds_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(1)
     items = [(i, " ".join(words(20, i))) for i in range(30)]
