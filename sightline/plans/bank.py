@@ -193,9 +193,9 @@ def identity_bank(spark, sf_dir):
 def _detections(spark, sf_dir):
     """Detections out of orders (photos), line items (boxes) and embeddings (vectors); a burst is 6 photos."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    li = table(spark, sf_dir, "lineitem").withColumn("seq", F.row_number().over(w)).where("seq <= 6")
+    li = table(spark, sf_dir, "lineitem").withColumn("seq", F.row_number().over(w))
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    n = 200
+    n = e.count()
     li = li.withColumn("vec_id", F.col("l_partkey") % n).join(e, "vec_id")
     bib = (100 + F.col("l_partkey") % n).cast("string")
     return li.select(F.lit("p").alias("project_id"), F.floor(F.col("l_orderkey") / 6).cast("string").alias("burst_id"), F.col("l_orderkey").cast("string").alias("photo_id"), F.lit(None).cast("string").alias("camera_serial"), F.col("seq").cast("long").alias("seq"),

@@ -166,3 +166,15 @@ def test_metrics_and_non_fatal_sinks(spark, tmp_path):
     spark.streams.removeListener(listener)
     assert seen[0] == 2 and q.exception() is None
     assert any(json.loads(x)["event"] == "batch" for x in lines)
+
+
+def test_detections_take_all_boxes_and_embeddings(spark):
+    from sightline.plans.bank import _detections
+
+    from .conftest import SF
+
+    boxes, vectors = spark.read.parquet(f"{SF}/lineitem.parquet"), spark.read.parquet(f"{SF}/embeddings.parquet")
+    d = _detections(spark, SF)
+    assert d.count() == boxes.count()
+    used = boxes.select((F.col("l_partkey") % vectors.count()).alias("vec_id")).distinct().join(vectors, "vec_id")
+    assert d.select("face_vec").distinct().count() == used.select("embedding").distinct().count()
