@@ -18,12 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stash, word_pieces
+from .common import slices, stash, unstash, word_pieces
 from .components import connected_components
 
 K = 72
-#: Members that one task compares among themselves; larger groups go in pairs of blocks.
+#: Members that one task compares among themselves; larger buckets go in pairs of blocks.
 BLOCK = 1024
+#: Members that one copy of a hub's set serves.
+LEADER_ROWS = 256
 #: Shingles of such a block, about: 16 MB of hashes.
 BLOCK_SHINGLES = 2_000_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -108,11 +110,12 @@ class _Forest(dict):
         return True
 
 
-def link_block(ids: list[int], sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
+def link_block(ids: list[int], sets: list[np.ndarray], left: int, percent: int, groups: list[int] | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``ids``: 100 * intersection >= percent * union.
 
     left: if not 0, only pairs between the first ``left`` and the rest (and what connects through
-    them). Intersections of all pairs are counted through the shingles that occur twice or more.
+    them). groups: ids of one group count as linked already. Intersections of all pairs are
+    counted through the shingles that occur twice or more.
     """
     n = len(ids)
     if n < 2:
@@ -138,35 +141,134 @@ def link_block(ids: list[int], sets: list[np.ndarray], left: int, percent: int)
     if left:
         linked[:left, :left] = False
         linked[left:, left:] = False
+    if groups is not None:
+        g = np.array(groups)
+        linked &= g[:, None] != g[None, :]
+    names = ids if groups is None else groups
     forest, out = _Forest(), []
     for a, b in zip(*np.nonzero(linked), strict=True):
-        if forest.join(ids[a], ids[b]):
+        if forest.join(names[a], names[b]):
             out.append((ids[a], ids[b]))
     return out
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept; one row for every row of ``docs``.
+def linked_sets(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, for two sorted sets."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    inter = int(np.count_nonzero(large[at] == small))
+    return 100 * inter >= percent * (len(a) + len(b) - inter)
+
+
+_LINKS = "u long, v long"
+
+
+def _link_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
+
+
+def _leader_links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between the members of each bucket and its smallest member: linear in the
+    bucket's size. A hub's set is sent once for every LEADER_ROWS members."""
+    pairs = stash(shared.where("node > hub").select("node", "hub").distinct(), "leader-pairs")
+    parts = stash(pairs.groupBy("hub").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("parts")), "leader-parts")
+    members = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node")
+    hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"))
+    dealt = members.unionByName(hubs).join(sets.select("node", "set"), "node").select("hub", "part", "node", "set").repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("node") != F.col("hub"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = held = None
+        for b in slices(batches):
+            found = []
+            for hub, part, node, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if node == hub:
+                    at, held = (hub, part), np.frombuffer(data, np.uint64)
+                elif at != (hub, part):
+                    raise ValueError("a hub's set has not arrived before its members")
+                elif linked_sets(held, np.frombuffer(data, np.uint64), percent):
+                    found.append((hub, node))
+            yield _link_batch(found)
+
+    return dealt.mapInArrow(compare, _LINKS)
+
+
+def _block_links(shared: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) within buckets whose members are in several components still.
+
+    Buckets of equal members are looked at once. A bucket's members go to blocks, those of a large
+    component to blocks of their own, and pairs of blocks are compared but for pairs of blocks of
+    one component, whose members need no more links. A member is sent once for every block that
+    holds members of other components."""
+    named = shared.select("key", "node").join(component.select(F.col("id").alias("node"), "component"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
+    named = stash(named, "bucket-members")
+    several = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("z"), F.count("*").alias("n"), *[F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in range(2)]).where("a < z")
+    once = stash(several.groupBy("n", "s0", "s1").agg(F.min("key").alias("key")).select("key"), "open-buckets")
+    left = stash(named.join(once, "key", "left_semi").join(sets.select("node", "n"), "node"), "open-members")
+
+    def parts(count, size):
+        return F.greatest(F.ceil(count / BLOCK), F.ceil(size / BLOCK_SHINGLES)).cast("int")
+
+    comps = stash(left.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s")).withColumn("own", (F.col("c") > BLOCK // 4) | (F.col("s") > BLOCK_SHINGLES // 4)), "bucket-components")
+    pool = comps.where("not own").groupBy("key").agg(parts(F.sum("c"), F.sum("s")).alias("pool"))
+    where = stash(comps.join(pool, "key", "left").select("key", "comp", F.when(F.col("own"), F.col("comp")).otherwise(F.lit(-1)).alias("owner"), F.when(F.col("own"), parts(F.col("c"), F.col("s"))).otherwise(F.col("pool")).alias("parts")), "bucket-blocks")
+    part = F.pmod(F.xxhash64(F.when(F.col("owner") < 0, F.col("comp")).otherwise(F.col("node"))), F.col("parts")).cast("int")
+    placed = stash(left.join(where, ["key", "comp"]).select("key", "node", "comp", "owner", part.alias("part")), "placed")
+    blocks = placed.select("key", F.struct("owner", "part").alias("block")).distinct()
+    # pairs of blocks, one row each; those of a pooled block with itself too
+    pairs = blocks.join(blocks.withColumnRenamed("block", "other"), "key").where((F.col("block") <= F.col("other")) & ((F.col("block.owner") < 0) | (F.col("block.owner") != F.col("other.owner"))))
+    pairs = stash(pairs.select("key", F.col("block").alias("i"), F.col("other").alias("j")), "block-pairs")
+    sent = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")).select("key", "i", "j", "block", F.col("block.owner").alias("owner"), F.col("block.part").alias("part"))
+    work = placed.join(sent, ["key", "owner", "part"]).select("key", "i", "j", (F.col("block") == F.col("i")).alias("first"), "node", "comp")
+    dealt = work.join(sets.select("node", "set"), "node").select("key", F.col("i.owner").alias("io"), F.col("i.part").alias("ip"), F.col("j.owner").alias("jo"), F.col("j.part").alias("jp"), "first", "node", "comp", "set")
+    dealt = dealt.repartition("key", "io", "ip", "jo", "jp").sortWithinPartitions("key", "io", "ip", "jo", "jp", F.desc("first"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of blocks arrive whole and sorted, one after the other."""
+        at, ids, held, comps, first = None, [], [], [], 0
+
+        def close():
+            return link_block(ids, held, first if at[1:3] != at[3:] else 0, percent, comps) if len(ids) > 1 else []
+
+        for b in slices(batches):
+            found = []
+            for *key, is_first, node, comp, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if at != key:
+                    found += close()
+                    at, ids, held, comps, first = key, [], [], [], 0
+                ids.append(node), held.append(np.frombuffer(data, np.uint64)), comps.append(comp)
+                first += is_first
+            yield _link_batch(found)
+        yield _link_batch(close())
+
+    return dealt.mapInArrow(compare, _LINKS)
+
+
+def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for every row of ``docs``: doc_id, version (a hash of the text), n_shingles, and
+    component_id and component_version, those of the component's first document: the smallest
+    doc_id (nulls last), then version.
 
     A-Z are lower-cased. Null texts and texts without words have no shingles and link with nothing;
-    they are components of their own and kept. Equal sets are one class from the start: they are
-    represented by their smallest id, so a group of copies costs as much as one text. Rows that
-    repeat an id share its row's result. A null id can't be linked and gets a null component.
-
-    Candidates: the buckets of equal keys, chained into candidate groups by star edges. Groups are
-    compared whole in blocks of BLOCK members, so that no pair is emitted: a task returns at most
-    one edge per member. A candidate group beyond 8 blocks is taken apart into its buckets, each
-    compared whole, in pairs of blocks over many tasks.
+    they are components of their own. Equal sets are one class from the start and compared once, so
+    a group of copies costs as much as one text. Nodes are classes, not ids: rows that repeat an id
+    with another text are documents of their own, and null ids take part like any other.
+
+    Candidates are the buckets of equal keys. First the members of each bucket are compared with
+    its smallest member; most buckets are then of one component. In those that are not, pairs of
+    blocks are compared, at every size alike, so that no pair of documents is emitted but links.
     """
     m = chunks_for(percent / 100)
     seeds = np.random.default_rng(20240501).integers(1, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    schema = "doc_id long, n_shingles long, c1 long, c2 long, keys array<long>"
+    schema = "doc_id long, version long, n_shingles long, c1 long, c2 long, keys array<long>"
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHash()
         for b in slices(batches):
             n, c1, c2, keys = [], [], [], []
-            for text in b.column(1).to_pylist():
+            for text in b.column(2).to_pylist():
                 s = shingle_hashes(text, words, memo)
                 n.append(len(s))
                 if not len(s):
@@ -176,77 +278,78 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col:
                     c1.append(int(_mix(s).sum(dtype=np.uint64).view(np.int64)))
                     c2.append(int(_mix(s + np.uint64(77)).sum(dtype=np.uint64).view(np.int64)))
                 keys.append(_keys(_signature(s, seeds), m).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "c1", "c2", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "version", "n_shingles", "c1", "c2", "keys"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.col(text_col).alias("text"))
     sketches = stash(texts.mapInArrow(sketch, schema), "sketches")
-    # classes of equal sets, by size and 128 bits of the set's sum
-    member = sketches.select("doc_id", "n_shingles", "c1", "c2")
-    classes = stash(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "c1", "c2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sketches.where("n_shingles > 0").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    keyed = stash(reps.select("doc_id", F.explode("keys").alias("key")), "keys")
+    doc = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version")
+    member = sketches.select("doc_id", "version", "n_shingles", "c1", "c2")
+    # classes of equal sets, by size and 128 bits of the set's sum; numbered as they are written
+    classes = sketches.where("n_shingles > 0").groupBy("n_shingles", "c1", "c2").agg(F.min(doc).alias("rep"), F.first("keys").alias("keys"))
+    classes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    keyed = stash(classes.select("node", F.explode("keys").alias("key")), "keys")
     # buckets with two members or more, as stars around their smallest member
     # (written, so that the join has a plain exchange on both sides and a hot key can be split)
-    hubs = stash(keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).where("hub < top").select("key", "hub"), "hubs")
+    hubs = stash(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("key", "hub"), "hubs")
     shared = stash(keyed.join(hubs, "key"), "buckets")
-    groups = stash(connected_components(shared.where("doc_id > hub").select(F.col("doc_id").alias("u"), F.col("hub").alias("v")).distinct()), "groups")
-    sizes = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"))
-    members = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("gid")).join(sizes, "doc_id")
-    # blocks of a group, by members and by shingles
-    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    large = stash(members.groupBy("gid").agg(parts.alias("blocks")), "large-groups")
-    whole = members.join(large, "gid")
-    apart = whole.where(F.col("blocks") > 8).select("doc_id", "n").join(shared, "doc_id").select("doc_id", "n", F.col("key").alias("gid"), F.lit(1).alias("kind"))
-    in_keys = apart.join(apart.groupBy("gid").agg(parts.alias("blocks")), "gid").select("doc_id", "gid", "kind", "blocks")
-    work = whole.where(F.col("blocks") <= 8).select("doc_id", "gid", F.lit(0).alias("kind"), "blocks").unionByName(in_keys)
-    # a member goes to the pairs of blocks that its own block is part of
-    work = work.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    work = stash(work.select("doc_id", "gid", "kind", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")), "work")
+    unstash(hubs), unstash(keyed)
 
     def set_bytes(batches):
         memo = WordHash()
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_hashes(t, words, memo).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "set"])
-
-    wanted = texts.dropna(subset=["doc_id"]).join(stash(work.select("doc_id").distinct(), "wanted"), "doc_id", "left_semi")
-    sets = wanted.mapInArrow(set_bytes, "doc_id long, set binary").dropDuplicates(["doc_id"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_hashes(t, words, memo).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["node", "set"])
+
+    # the sets of the members, once; of rows that repeat the class's first document any will do
+    asked = classes.select("node", "rep.*").join(shared.select("node").distinct(), "node", "left_semi")
+    asked = stash(asked.select("node", F.col("doc_id").alias("_d"), F.col("version").alias("_v")), "asked")
+    rows = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v"))).select("node", "text").dropDuplicates(["node"])
+    sets = stash(rows.mapInArrow(set_bytes, "node long, set binary").withColumn("n", (F.octet_length("set") / 8).cast("long")), "sets")
+    star = stash(connected_components(stash(_leader_links(shared, sets, percent), "leader-links")), "leader-components")
+    more = stash(_block_links(shared, star, sets, percent), "block-links")
+    comps = star if more.isEmpty() else stash(connected_components(star.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more)), "components")
+    # the first document of each component of several classes
+    named = stash(comps.join(classes.select(F.col("node").alias("id"), "rep"), "id").select("id", "component", "rep"), "component-members")
+    best = named.groupBy("component").agg(F.min("rep").alias("best"))
+    firsts = named.join(stash(best, "component-firsts"), "component").select(F.col("id").alias("node"), "best")
+    rep = stash(classes.select("node", "n_shingles", "c1", "c2", "rep").join(firsts, "node", "left").select("n_shingles", "c1", "c2", F.coalesce("best", "rep").alias("best")), "class-components")
+    unstash(shared), unstash(sets)
+    out = member.join(rep, ["n_shingles", "c1", "c2"], "left")
+    of = lambda name: F.when(F.col("n_shingles") > 0, F.col(f"best.{name}")).otherwise(F.col(name)).alias(f"component_{name.removeprefix('doc_')}")
+    return out.select("doc_id", "version", "n_shingles", of("doc_id"), of("version"))
 
-    def compare(batches):
-        """Groups arrive whole and sorted, one after the other."""
-        at, ids, held, in_first, u, v = None, [], [], 0, [], []
 
-        def close():
-            if len(ids) > 1:
-                edges = link_block(ids, held, in_first if at[2] != at[3] else 0, percent)
-                u.extend(e[0] for e in edges), v.extend(e[1] for e in edges)
-
-        for b in slices(batches):
-            for kind, gid, i, j, block, doc_id, members in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if at != (kind, gid, i, j):
-                    close()
-                    at, ids, held, in_first = (kind, gid, i, j), [], [], 0
-                ids.append(doc_id)
-                held.append(np.frombuffer(members, np.uint64))
-                in_first += block == i
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-            u.clear(), v.clear()
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    dealt = work.join(sets, "doc_id").select("kind", "gid", "i", "j", "block", "doc_id", "set").repartition("kind", "gid", "i", "j").sortWithinPartitions("kind", "gid", "i", "j", F.col("block") != F.col("i"), "doc_id")
-    links = stash(dealt.mapInArrow(compare, "u long, v long"), "links")
-    comps = stash(connected_components(links), "components")
-    rep = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "c1", "c2", F.coalesce("component", "rep").alias("component_id"))
-    out = member.join(rep, ["n_shingles", "c1", "c2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable, itself
+    included; null if all are null) and kept (doc_id is that). See near_groups; rows that repeat an
+    id with texts of one component are all kept or none."""
+    groups = near_groups(docs, words, percent, id_col, text_col)
+    return groups.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: that of the smallest doc_id (nulls
+    last), then version. Rows are told apart by id and text, so that of two texts under one id only
+    the duplicate goes; of rows equal in both any one stays. Rows without words all stay but for
+    such repeats. All columns stay as they are."""
+    groups = stash(near_groups(docs, words, percent, id_col, text_col).select("doc_id", "version", "component_id", "component_version"), "near-groups")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("version") == F.col("component_version"))
+    fate = groups.groupBy("doc_id", "version").agg(F.count("*").alias("n"), F.min(first).alias("first"))
+    fate = stash(fate.where("n > 1 or not first").select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "first"), "near-fates")
+    held = docs.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in docs.columns]).alias("_held"), F.col(id_col).cast("long").alias("_key"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_version"))
+    same = F.col("_key").eqNullSafe(F.col("_d")) & (F.col("_version") == F.col("_v"))
+    columns = [F.col("_held").getField(c).alias(c) for c in docs.columns]
+    single = held.join(fate, same, "left_anti").select(*columns)
+    again = fate.where("first")
+    if again.isEmpty():
+        return single
+    # rows that repeat a document, combined before the shuffle
+    return single.unionByName(held.join(again, same, "left_semi").dropDuplicates(["_key", "_version"]).select(*columns))
 
 
 def op5_query(spark, sf_dir) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)
 
 
-
-
 def op5_sql() -> str:
     return """
 with recursive w as (

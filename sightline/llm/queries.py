@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import decontaminate, html_text, line_dedup, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
+from . import decontaminate, html_text, line_dedup, mixing, near_dup, quality, stages, suffix_dedup, token_counts, url_filters, warc
 
 QUERIES = {
-    "pipeline": corpus_pipeline.run,
+    "pipeline": stages.run,
     "op1_token_counts": token_counts.op1_query,
     "op2_quality_rules": quality.op2_query,
     "op3_decontamination": decontaminate.op3_query,

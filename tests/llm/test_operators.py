@@ -209,22 +209,60 @@ def test_interval_expansion():
 # ---- near duplicates ----
 
 
-@pytest.mark.parametrize("k,percent,block", [(3, 85, near_dup.BLOCK), (5, 80, near_dup.BLOCK), (3, 85, 4), (3, 85, 1)])
+@pytest.mark.parametrize("k,percent,block", [(3, 85, near_dup.BLOCK), (5, 80, near_dup.BLOCK), (3, 85, 8), (3, 85, 1)])
 def test_near_duplicates(spark, monkeypatch, k, percent, block):
-    monkeypatch.setattr(near_dup, "BLOCK", block)  # small: pairs of blocks, and groups taken apart
+    monkeypatch.setattr(near_dup, "BLOCK", block)  # small: pairs of blocks
+    monkeypatch.setattr(near_dup, "LEADER_ROWS", min(256, 2 * block))
     rows = docs_with_copies()
     df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, component_id int")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(df, k, percent).collect()}
     assert got == brute.near_components(rows, k, percent)
 
 
+@pytest.mark.parametrize("block", [near_dup.BLOCK, 4])
+def test_block_links_join_what_leaders_leave_apart(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    r = random.Random(block)
+    chain = [frozenset(range(i, i + 60)) for i in range(0, 240, 3)]  # neighbours are linked, ends are not
+    sets = [*chain, *(frozenset(r.sample(range(1000, 1100), 60)) for _ in range(20))]
+    data = [(i, np.array(sorted(x), np.uint64).tobytes(), len(x)) for i, x in enumerate(sets)]
+    s = spark.createDataFrame(data, "node long, set binary, n long")
+    shared = spark.createDataFrame([(key, i, 0) for key in (5, 6) for i in range(len(sets))], "key long, node long, hub long")  # one hot bucket, twice
+    star = connected_components(near_dup._leader_links(shared, s, 85))
+    links = star.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(near_dup._block_links(shared, star, s, 85))
+    got = {x.id: x.component for x in connected_components(links).collect()}
+    linked = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
+    want = {}
+    for i in range(len(sets)):
+        seen, todo = {i}, [i]
+        while todo:
+            x = todo.pop()
+            new = [y for y in range(len(sets)) if y not in seen and linked(sets[x], sets[y])]
+            seen.update(new), todo.extend(new)
+        want[i] = min(seen)
+    assert {i: got.get(i, i) for i in range(len(sets))} == want and len(set(want.values())) > 2
+
+
 def test_near_duplicates_of_repeated_rows_nulls_and_empty_tables(spark):
-    df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "A b c d"), (None, "a b c d"), (3, None)], DOCS)
+    df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "A b c d"), (None, "a b c d"), (3, None), (None, "x y z")], DOCS)
     got = sorted([(r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in near_dup.near_duplicates(df).collect()])
-    assert got == [(-1, 2, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+    assert got == [(-1, 1, -1, True), (-1, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_with_unlike_texts(spark):
+    a, b = " ".join(words(30, 1)), " ".join(words(30, 2))
+    near = a.replace(a.split()[0], "other", 1)
+    rows = [(1, a, 1), (2, a, 2), (2, b, 3), (3, None, 4), (3, None, 5), (4, "", 6), (None, b, 7), (5, near, 8), (5, near, 9), (1, a, 1), (None, "lone", 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _held int")
+    left = near_dup.first_of_groups(df)
+    assert left.columns == df.columns
+    got = sorted(((r.doc_id or 0, r.text or "") for r in left.collect()))
+    assert got == sorted([(1, a), (2, b), (3, ""), (4, ""), (0, "lone")])
+    comps = {(r.doc_id, r.component_id) for r in near_dup.near_duplicates(df, 5, 80).collect()}
+    assert comps == {(1, 1), (2, 1), (2, 2), (3, 3), (4, 4), (None, 2), (5, 1), (None, None)}
+
+
 def test_signatures_within_the_radius_share_a_key():
     rng = np.random.default_rng(0)
     m = near_dup.chunks_for(0.85)
