@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from .common import stash
 
-#: Rules beyond this number are joined by a shuffle, not broadcast. A rule row is under 0.2 KB.
-BROADCAST_RULES = 100_000
+#: Rules beyond this number, or of more characters than RULE_CHARS each on average, are joined by a shuffle, not broadcast.
+BROADCAST_RULES, RULE_CHARS = 100_000, 200
+#: Hexadecimal digits of a digest that expressions and rules are joined on.
+SHORT = 8
 
 
 def split_url(url):
@@ -39,23 +41,22 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     and URLs without ``://`` have an empty host and path, which no rule with a host fits. Repeated
     rows are judged each; columns named host, path, rule or verdict are replaced.
 
-    A row is expanded and folded again within its partition (a partial aggregate), so one row per
-    page is shuffled, by a row number, not by host: a hot host does not gather in a task.
+    Expressions meet the rules on the first 8 digits of their digests alone; a pair counts as a hit
+    if the whole digests are equal. A row is expanded and folded again within its partition (a
+    partial aggregate), so one row per page is shuffled, by a row number, not by host: a hot host
+    does not gather in a task. All columns of ``pages`` travel with it: select those that are needed.
     """
     held = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict"}]
-    ranked = (
-        rules.where(F.col("host").isNotNull() & F.col("path").isNotNull() & F.col("verdict").isNotNull())
-        .groupBy("host", "path").agg(F.max(F.col("verdict")).alias("verdict"))
-    )
-    from pyspark.sql import Window
-
-    by_length = Window.orderBy(F.length("host") + F.length("path"), F.length("host"), "host", "path")
-    ranked = stash(ranked.withColumn("rank", F.row_number().over(by_length).cast("long")).select("host", "path", "verdict", "rank", _digest(F.col("host"), F.col("path")).alias("digest")), "url-rules")
-    count, lengths = ranked.count(), [r[0] for r in ranked.select(F.length("path").alias("n")).distinct().orderBy("n").collect()]  # at most one for each path length
-    small = count <= broadcast_rules
-    side = ranked.select(F.substring("digest", 1, 8).alias("_short"), F.col("digest").alias("_full"), "rank")
-    names = ranked.select(F.col("rank").alias("_rank"), F.concat("host", "path").alias("_rule"), F.col("verdict").alias("_verdict"))
-    side, names = (F.broadcast(side), F.broadcast(names)) if small else (side, names)
+    ranked = rules.where(F.col("host").isNotNull() & F.col("path").isNotNull() & F.col("verdict").isNotNull())
+    ranked = ranked.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    # a rule's place: the larger struct wins
+    place = F.struct((F.length("host") + F.length("path")).alias("n"), F.length("host").alias("of_host"), F.concat("host", "path").alias("rule"), "verdict")
+    ranked = stash(ranked.select(place.alias("place"), F.length("path").alias("of_path"), _digest(F.col("host"), F.col("path")).alias("digest")), "url-rules")
+    count, length = ranked.agg(F.count("*"), F.coalesce(F.sum(F.length("place.rule")), F.lit(0))).first()
+    small = count <= broadcast_rules and length <= RULE_CHARS * broadcast_rules
+    lengths = [r[0] for r in ranked.select("of_path").distinct().orderBy("of_path").collect()]  # at most one for each path length
+    side = ranked.select(F.substring("digest", 1, SHORT).alias("_short"), F.col("digest").alias("_full"), "place")
+    side = F.broadcast(side) if small else side
 
     # the page's columns travel in one struct, so that no name of theirs can clash with those used here
     base = pages.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in held]).alias("_held"), F.col(url_col).alias("_url"))
@@ -65,11 +66,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.array_distinct(F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("_path")), lambda n: F.substring(F.col("_path"), F.lit(1), n)))
     e = base.withColumn("_suffix", F.explode(suffixes)).withColumn("_prefix", F.explode_outer(prefixes))
-    e = e.withColumn("_digest", _digest(F.col("_suffix"), F.col("_prefix"))).drop("_suffix", "_prefix").withColumn("_short8", F.substring("_digest", 1, 8))
-    hit = e.join(side, (F.col("_short8") == F.col("_short")) & (F.col("_digest") == F.col("_full")), "left")
-    best = hit.groupBy("_row", "_held", "_host", "_path").agg(F.max("rank").alias("_best"))
-    out = best.join(names, F.col("_best") == F.col("_rank"), "left")
-    return out.select(*[F.col("_held").getField(c).alias(c) for c in held], F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.coalesce("_verdict", F.lit(default)).alias("verdict"))
+    e = e.withColumn("_digest", _digest(F.col("_suffix"), F.col("_prefix"))).drop("_suffix", "_prefix").withColumn("_start", F.substring("_digest", 1, SHORT))
+    met = e.join(side, F.col("_start") == F.col("_short"), "left")
+    sure = F.when(F.col("_digest") == F.col("_full"), F.col("place"))
+    best = met.groupBy("_row", "_held", "_host", "_path").agg(F.max(sure).alias("_best"))
+    return best.select(*[F.col("_held").getField(c).alias(c) for c in held], F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
 
 
 #: The contract's rules.
