@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, SPACE_CHARS, drop_at_end, fresh_path, slices, stash, word_pieces
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
+#: The session's setting that names a cache folder on the shared store, which then outlives the run.
+CACHE_SETTING = "spark.sightline.tokenCache"
 #: Words whose counts a Python worker remembers; the memo is emptied beyond this.
 MEMO_WORDS = 400_000
 
@@ -76,14 +78,15 @@ def _counter(spec: bytes, insensitive: bool):
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``: the tokens of each whole text, without special tokens added.
+    """``docs`` with ``n_tokens``: the tokens of each whole text, without special tokens added, and
+    ``cached``: whether the count was stored before this call.
 
     tokenizer_path: a ``tokenizers`` JSON file, read on the driver and sent with the tasks.
-    cache_path: a Parquet folder of CACHE_SCHEMA that is read and appended to; a new one in the
-    work folder if None. A null text counts as empty. Other columns stay as they are, but for n_bytes
-    and n_tokens, which are replaced; rows that
-    repeat get the same count. A count that is appended twice by a doubled run does no harm: the
-    cache is read distinct.
+    cache_path: a Parquet folder of CACHE_SCHEMA that is read and appended to, and kept; if None the
+    one that the session names under CACHE_SETTING, and if it names none a new one in the work folder,
+    which is removed at the end. A null text counts as empty. Other columns stay as they are, but for
+    n_bytes, n_tokens and cached, which are replaced; rows that repeat get the same count. A count
+    that is appended twice by a doubled run does no harm: the cache is read distinct.
     """
     import os
 
@@ -92,17 +95,19 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     with open(tokenizer_path, "rb") as f:
         spec = f.read()
     version, insensitive = hashlib.sha256(spec).hexdigest(), space_insensitive(spec)
-    own = cache_path is None
+    cache_path = cache_path or spark.conf.get(CACHE_SETTING, None)
+    own = not cache_path
     cache_path = cache_path or fresh_path(spark, "token-cache")
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)  # the folder exists from here on
     if own:
         drop_at_end(spark, cache_path)
-    stored = lambda: spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    stored = lambda: spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version).groupBy(F.col("digest").alias("_digest")).agg(F.max("n_tokens").alias("n_tokens"))
 
     digest = F.unhex(F.sha2(F.col("_content").cast("binary"), 256)).alias("_digest")
     contents = docs.select(normalised(F.col(text_col), insensitive).alias("_content")).select("_content", digest)
-    known = stored().select(F.col("digest").alias("_digest"))
-    misses = contents if known.isEmpty() else contents.join(known, "_digest", "left_anti")
+    known = stash(stored(), "known-tokens")  # written, as the cache grows below
+    cold = known.isEmpty()
+    misses = contents if cold else contents.join(known, "_digest", "left_anti")
     misses = misses.dropDuplicates(["_digest"])  # combined before the shuffle: a hot content leaves each task once
     shared = spark.sparkContext.broadcast(spec)  # one tokenizer file
 
@@ -114,12 +119,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
 
     misses.select("_digest", "_content").mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     # other columns travel in one struct, so that no name of theirs can clash with those used here
-    keep = [c for c in docs.columns if c != text_col and c.lower() not in ("n_bytes", "n_tokens")]
+    keep = [c for c in docs.columns if c != text_col and c.lower() not in ("n_bytes", "n_tokens", "cached")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in keep]).alias("_held"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(normalised(F.col(text_col), insensitive).cast("binary"), 256)).alias("_digest"))
     # written, so that the join has a plain exchange on both sides and a hot content can be split
-    counts = stash(stored().select(F.col("digest").alias("_digest"), "n_tokens"), "token-counts")
-    return keyed.join(counts, "_digest", "left").select(*[F.col("_held").getField(c).alias(c) for c in keep], "n_bytes", "n_tokens")
+    before = known.select("_digest", F.lit(True).alias("_before"))
+    counts = stored() if cold else stored().join(before, "_digest", "left")
+    counts = stash(counts.select("_digest", "n_tokens", (F.lit(False) if cold else F.col("_before").isNotNull()).alias("cached")), "token-counts")
+    return keyed.join(counts, "_digest", "left").select(*[F.col("_held").getField(c).alias(c) for c in keep], "n_bytes", "n_tokens", "cached")
 
 
 def op1_query(spark, sf_dir, vocabulary: str = "word_bpe_49k.json", limit: int = 2048) -> DataFrame:
@@ -127,4 +134,4 @@ def op1_query(spark, sf_dir, vocabulary: str = "word_bpe_49k.json", limit: int =
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = count_tokens(docs, public_tokenizers.path(vocabulary))
-    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "cached")

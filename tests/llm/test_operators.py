@@ -57,8 +57,16 @@ def test_token_counts(spark, tokenizer, tmp_path):
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.digest) for r in token_counts.count_tokens(df, path, cache).collect()}
     assert got == {i: (len((t or "").encode()), count(t), 7) for i, t in enumerate(texts)}
     first = spark.read.parquet(cache).count()
-    token_counts.count_tokens(df.limit(5), path, cache).count()
-    assert spark.read.parquet(cache).count() == first  # nothing new was encoded
+    again = token_counts.count_tokens(df.limit(5), path, cache).collect()
+    assert spark.read.parquet(cache).count() == first and all(r.cached for r in again)  # nothing new was encoded
+    spark.conf.set(token_counts.CACHE_SETTING, cache)  # a cache that the session names
+    try:
+        more = spark.createDataFrame([(0, texts[3], 1), (1, "a text that is new", 1)], "doc_id long, text string, digest int")
+        got = {r.doc_id: (r.n_tokens, r.cached) for r in token_counts.count_tokens(more, path).collect()}
+    finally:
+        spark.conf.unset(token_counts.CACHE_SETTING)
+    assert got == {0: (count(texts[3]), True), 1: (count("a text that is new"), False)}
+    assert spark.read.parquet(cache).count() == first + 1
     assert token_counts.count_tokens(df.limit(0), path).count() == 0
 
 
