@@ -2,8 +2,9 @@
 
 Every element gets its link-adjusted characters per tag; an element's density sum is the sum of its
 children's densities. The subtree with the largest density sum is the article; the smallest density
-on the path from body to it is the threshold that elements must reach. Menus, forms, adverts and the
-like are cut from the tree before anything is measured.
+on the path from body to it is the threshold that blocks beside that path must reach to join it.
+What HTML itself or a class, id or role marks as boilerplate is a feature beside the density: such an
+element counts for less in the search, and is cut where it lies beside or within what was chosen.
 """
 
 from __future__ import annotations
@@ -47,27 +48,48 @@ BESIDE = frozenset(
 )
 #: Boilerplate of a page, but not within its article.
 PAGE_NAMES = frozenset("header masthead topbar".split())
+#: Elements whose class or id may tell their kind; those of running text are never judged by name.
+NAMED = frozenset("div section ul ol dl table span ins center details fieldset figure iframe li".split())
+#: Blocks that only lay out a page: beside the article they must be dense to belong to it.
+LAYOUT = frozenset("div section center fieldset details dir address search".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+#: What a density sum counts for within an element that is marked as boilerplate.
+MARKED = 0.3
+#: The share of the choice's characters that a layout block beside it needs to join it.
+JOINS = 0.1
+#: Characters outside links from which on a block whose name says several things counts as text.
+LEAST_TEXT = 200
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+)")
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 _PARTS = re.compile(r"[^a-z0-9]+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-SOFT, HARD = 1, 2
+#: How sure it is that an element is boilerplate: by its name among others, by its kind, whatever is in it.
+WEAK, SOFT, HARD = 1, 2, 3
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "cut", "chars", "link_chars", "tags", "link_tags", "density")
-
-    def __init__(self, tag: str, parent: Node | None, cut: int):
-        self.tag, self.parent, self.kids, self.cut = tag, parent, [], cut
+    __slots__ = ("tag", "parent", "kids", "cut", "depth", "inner", "in_p", "chars", "link_chars", "tags", "link_tags", "density")
+
+    def __init__(self, tag: str, parent: Node | None):
+        self.tag, self.parent, self.kids, self.cut = tag, parent, [], 0
+        self.depth = parent.depth + 1 if parent else 0
+        self.inner = tag in ("article", "main") or parent is not None and parent.inner  # within an article
+        #: The open p that a block would end.
+        self.in_p = self if tag == "p" else None if parent is None or tag in SCOPE else parent.in_p
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = 0.0
 
 
-def _in_article(node: Node | None) -> bool:
-    while node is not None and node.tag not in ("article", "main"):
-        node = node.parent
-    return node is not None
+def attributes(source: str) -> dict[str, str]:
+    """Lower-cased names and values of a start tag's attributes, the first of each name; no value: empty."""
+    out: dict[str, str] = {}
+    for name, value in _ATTR.findall(source):
+        if value[:1] in ("'", '"'):
+            value = value[1:].removesuffix(value[0])
+        out.setdefault(name.lower(), value.lower())
+    return out
 
 
 def _named(value: str, names: frozenset) -> bool:
@@ -79,62 +101,51 @@ def _named(value: str, names: frozenset) -> bool:
     return False
 
 
-def _boilerplate(tag: str, attrs: str, parent: Node | None) -> int:
-    """0: none. SOFT: unless the article turns out to be in it. HARD: whatever is in it."""
-    found = SOFT if tag in AROUND or tag == "header" and not _in_article(parent) else HARD if tag in DROPPED else 0
-    if found == HARD or not attrs or tag in ("html", "body", "article", "main"):
+def _says_more(value: str) -> bool:
+    """One of the names in a class or id has a part that is none of boilerplate or layout."""
+    return any(x and x not in NAMES and x not in PAGE_NAMES and x not in BESIDE and not x[0].isdigit() for x in _PARTS.split(value))
+
+
+def _boilerplate(node: Node, source: str) -> int:
+    """0: none. WEAK, SOFT: unless densities speak against it. HARD: whatever is in it."""
+    tag, outer = node.tag, node.parent
+    found = SOFT if tag in AROUND or tag == "header" and not outer.inner else HARD if tag in DROPPED else 0
+    if found == HARD or not source or tag in ("html", "body", "article", "main"):
         return found
-    for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id"):
+    attrs = attributes(source)
+    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _UNSEEN.search(attrs.get("style", "")):
+        return HARD
+    if attrs.get("role", "").strip() in ROLES:
+        return SOFT
+    if tag in NAMED:
+        for value in (attrs.get("class", ""), attrs.get("id", "")):
             if _named(value, COMMENTS):
                 return HARD
-            if _named(value, NAMES) or _named(value, PAGE_NAMES) and not _in_article(parent):
-                found = SOFT
-        if name == "role" and value.strip() in ROLES:
-            found = SOFT
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return HARD
-    return HARD if re.search(r"(?:^|\s)hidden(?:\s|$|/)", _ATTR.sub(" ", attrs), re.I) else found
-
-
-def _release(root: Node) -> None:
-    """Undo soft cuts of elements that hold the page's article or main, or most of its text outside links."""
-    soft, outside, body, order = [], False, root, []
-    stack = [(root, False, False)]
-    while stack:
-        node, within, linked = stack.pop()
-        order.append(node)
-        within = within or bool(node.cut)
-        linked = linked or node.tag == "a"
-        soft += [node] if node.cut == SOFT else []
-        outside |= not within and node.tag in ("article", "main")
-        body = node if node.tag == "body" and body is root else body
-        for kid in node.kids:
-            if type(kid) is not str:
-                if kid.cut != HARD:
-                    stack.append((kid, within, linked))
-            elif not linked:
-                node.chars += len("".join(kid.split()))
-    if soft:
-        holds = set()
-        for node in reversed(order):
-            if node.parent is not None:
-                node.parent.chars += node.chars
-                if node.tag in ("article", "main") or node in holds:
-                    holds.add(node.parent)
-        for node in soft:
-            most = 2 * node.chars > body.chars
-            if node in holds and (most or not outside) or most and not outside:
-                node.cut = 0
-    for node in order:
-        node.chars = 0
+            if _named(value, NAMES) or _named(value, PAGE_NAMES) and not outer.inner:
+                found = max(found, WEAK if _says_more(value) else SOFT)
+    return found
 
 
 def parse(html: str) -> Node:
-    """The tree of elements and texts. Never fails: stray end tags are ignored, open elements end with the page."""
-    root = Node("#root", None, 0)
+    """The tree of elements and texts. Never fails: stray end tags are ignored, open elements end with
+    the page. Every element is opened and closed once, and what a tag ends is found without a walk."""
+    root = Node("#root", None)
     at, pos, size = root, 0, len(html)
+    opened: dict[str, list[Node]] = {}  # open elements by tag, and those that end a scope
+    scopes: list[int] = []
+
+    def depth(tags) -> int:
+        return max((opened[t][-1].depth for t in tags if opened.get(t)), default=-1)
+
+    def close(to: int) -> None:
+        """Close all elements at this depth and below."""
+        nonlocal at
+        while at.depth >= to:
+            opened[at.tag].pop()
+            if at.tag in SCOPE:
+                scopes.pop()
+            at = at.parent
+
     while pos < size:
         m = _TAG.search(html, pos)
         if m is None:
@@ -148,40 +159,25 @@ def parse(html: str) -> Node:
             continue
         tag = name.lower()
         if m.group(1):
-            up = at
-            while up is not None and up.tag != tag:
-                if tag not in ("html", "body", "table") and up.tag in SCOPE and tag not in SCOPE:
-                    up = None
-                    break
-                up = up.parent
-            if up is not None and up.parent is not None:
-                at = up.parent
+            end = depth((tag,))
+            if end > 0 and (tag in SCOPE or tag in ("html", "body") or not scopes or end > scopes[-1]):
+                close(end)
+            continue
+        if tag in ("html", "body") and opened.get(tag):
             continue
-        if tag in ("html", "body") and at is not root:
-            up = at
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None:
-                continue
         if tag == "body":  # ends an open head
-            while at.tag not in ("html", "#root"):
-                at = at.parent
-        if tag in P_ENDS:
-            up = at
-            while up is not None and up.tag != "p" and up.tag not in SCOPE:
-                up = up.parent
-            if up is not None and up.tag == "p":
-                at = up.parent
+            close(depth(("html",)) + 1 if opened.get("html") else 1)
+        if tag in P_ENDS and at.in_p is not None:
+            close(at.in_p.depth)
         if tag in SAME_END:
-            up, ends, stops = at, SAME_END[tag], STOPS[tag]
-            while up is not None and up.tag not in ends and up.tag not in stops:
-                up = up.parent
-            if up is not None and up.tag in ends:
-                at = up.parent
-                if tag == "tr" and at.tag == "tr":
-                    at = at.parent
+            stop = depth(STOPS[tag])
+            while (end := depth(SAME_END[tag])) > stop:
+                close(end)
+                if tag not in ("tr", "tbody", "tfoot", "thead"):
+                    break
+        node = Node(tag, at)
         attrs = m.group(3)
-        node = Node(tag, at, _boilerplate(tag, attrs, at))
+        node.cut = _boilerplate(node, attrs)
         at.kids.append(node)
         if tag in VOID or attrs.endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
@@ -192,28 +188,30 @@ def parse(html: str) -> Node:
             pos = end.end() if end else size
             continue
         at = node
-    _release(root)
+        opened.setdefault(tag, []).append(node)
+        if tag in SCOPE:
+            scopes.append(node.depth)
     return root
 
 
 def _walk(root: Node) -> list[Node]:
-    """The elements that are not cut, parents first."""
+    """The elements but for those whose kind has no text of the page, parents first."""
     out, stack = [], [root]
     while stack:
         node = stack.pop()
         out.append(node)
-        stack.extend(k for k in reversed(node.kids) if type(k) is Node and not k.cut)
+        stack.extend(k for k in reversed(node.kids) if type(k) is Node and k.cut != HARD)
     return out
 
 
 def measure(root: Node) -> list[Node]:
-    """Counts and the composite density of every element that is not cut."""
+    """Counts and the composite density of every element of ``_walk``."""
     nodes = _walk(root)
     for node in reversed(nodes):
         for kid in node.kids:
             if type(kid) is str:
                 node.chars += len("".join(kid.split()))
-            elif not kid.cut:
+            elif kid.cut != HARD:
                 node.chars += kid.chars
                 node.link_chars += kid.link_chars
                 node.tags += kid.tags + 1
@@ -231,48 +229,68 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
+def density_sum(node: Node) -> float:
+    return sum(k.density for k in node.kids if type(k) is Node and k.cut != HARD)
+
+
 def _links(node: Node) -> bool:
     """Over a third of the element's characters are link text."""
     return 3 * node.link_chars > node.chars
 
 
 def choose(root: Node) -> list[Node]:
-    """The subtree of the largest density sum among those at or above the body path's threshold, widened
-    to the topmost element above it that adds text which is poor in links; of articles, also those
-    beside it. Blocks of links beside the path that the widening passes are cut."""
+    """The subtree of the largest density sum, sums within marked elements counting for MARKED of
+    themselves, widened along the path to body by what stands beside it and belongs to it:
+
+    * within an article or main, all of it, and of an article also the articles beside it;
+    * running text, headings, lists and tables that are poor in links;
+    * layout blocks of the path's smallest density or more that have JOINS of the choice's
+      characters, and what stands between such blocks.
+
+    Marked elements above the choice are released; those within it and what does not join are cut.
+    """
     nodes = measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
-    total = lambda n: sum(k.density for k in n.kids if type(k) is Node and not k.cut)
-    best = max(_walk(body), key=total)
-    if total(best) <= 0:
-        return [body]
-    threshold, up = best.density, best
-    while up is not None and up is not body:
-        threshold, up = min(threshold, up.density), up.parent
-    fit = [n for n in _walk(body) if n.density >= threshold and n.chars and n is not body]
-    chosen = max(fit, key=total, default=body)
-    # text that stands beside the chosen element in an article belongs to it
-    up = chosen
-    while up is not None and up is not body:
-        if up.tag in ("article", "main"):
-            chosen = up
-        up = up.parent
-    if chosen.tag in ("article", "main"):
-        if chosen.tag == "article":
-            return [k for k in chosen.parent.kids if type(k) is Node and not k.cut and k.chars and (k is chosen or k.tag == "article")]
-        return [chosen]
-    top, apart, passed, at = chosen, [], [], chosen
-    while at is not body and at.parent is not None:
-        up = at.parent
-        others = [k for k in up.kids if type(k) is Node and not k.cut and k.chars and k is not at]
-        passed += [k for k in others if k.tag in BLOCK and _links(k)]
-        if not all(map(_links, others)) or any(type(k) is str and any(map(str.isalnum, unescape(k))) for k in up.kids):
-            top, apart = up, passed[:]
-        at = up
-    if top.chars - sum(n.chars for n in apart) < 0.5 * body.chars:
+    for n in nodes:  # a name among others only counts for blocks of few words or many links
+        if n.cut == WEAK:
+            n.cut = SOFT if _links(n) or n.chars - n.link_chars < LEAST_TEXT else 0
+    best, most, marked = body, 0.0, {id(body): False}
+    for n in _walk(body):
+        inside = marked[id(n)] = n.cut == SOFT or n is not body and marked[id(n.parent)]
+        total = MARKED * density_sum(n) if inside else sum(k.density * (MARKED if k.cut else 1.0) for k in n.kids if type(k) is Node and k.cut != HARD)
+        if total > most:
+            best, most = n, total
+    if not most:
         return [body]
-    for n in apart:
-        n.cut = SOFT
+    # running text stands for the block that it is in
+    while best is not body and best.tag not in LAYOUT and best.tag not in ("article", "main") and best.parent is not body:
+        best = best.parent
+    threshold, path = best.density, [best]
+    while path[-1] is not body:
+        threshold = min(threshold, path[-1].density)
+        path[-1].cut = 0
+        path.append(path[-1].parent)
+    article = next((n for n in reversed(path) if n.tag == "main"), None) or next((n for n in reversed(path) if n.tag == "article"), None)
+    if article is not None:
+        if article.tag == "main":
+            return [article]
+        return [k for k in article.parent.kids if type(k) is Node and not k.cut and k.chars and (k is article or k.tag == "article")]
+    top, cut, passed = best, [], []
+    for at, up in zip(path, path[1:], strict=False):
+        joins = []
+        for k in up.kids:
+            if type(k) is str:
+                joins.append(any(map(str.isalnum, unescape(k))))
+            else:
+                joins.append(k is at or not k.cut and k.chars > 0 and not (k.tag in BLOCK and _links(k)) and (k.tag not in LAYOUT or k.density >= threshold and k.chars >= JOINS * best.chars))
+        on = [i for i, (k, j) in enumerate(zip(up.kids, joins, strict=True)) if j or k is at]
+        for i, k in enumerate(up.kids):
+            if type(k) is Node and not joins[i] and k.tag in BLOCK and (_links(k) or not on[0] < i < on[-1]):
+                passed.append(k)
+        if len(on) > 1:
+            top, cut = up, passed[:]
+    for n in cut:
+        n.cut = n.cut or SOFT
     return [top]
 
 

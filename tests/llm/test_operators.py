@@ -498,6 +498,84 @@ def test_html_text_that_is_not_boilerplate():
     assert html_text.extract(page) == f"{LONG.strip()}\nLet x be one\na &lt; <b>\nfall back"
 
 
+def densities(node, whole=None):
+    """The composite density of every element by its definition, each counted from scratch."""
+    def parts(n):
+        """(characters, those in links, tags, link tags) below n"""
+        c = lc = t = lt = 0
+        for k in n.kids:
+            if isinstance(k, str):
+                c += len(re.sub(r"\s", "", k))
+            elif k.cut != html_text.HARD:
+                x = parts(k)
+                c, lc, t, lt = c + x[0], lc + x[1], t + x[2] + 1, lt + x[3] + (k.tag == "a")
+        return c, c if n.tag == "a" else lc, t, lt
+
+    whole = whole or parts(next((n for n in html_text._walk(node) if n.tag == "body"), node))
+    c, lc, t, lt = parts(node)
+    d = 0.0
+    if c:
+        t, lt1, lc1 = max(1, t), max(1, lt), max(1, lc)
+        d = c / t * np.log(max(c / lc1 * t / lt1, 1) + 1) / np.log(c / max(1, c - lc) * lc + whole[1] / whole[0] * c + np.e)
+    return [max(0.0, d)] + [x for k in node.kids if not isinstance(k, str) and k.cut != html_text.HARD for x in densities(k, whole)]
+
+
+def test_html_densities_by_definition():
+    r = random.Random(11)
+    for _ in range(60):
+        page = "<body>" + "".join(r.choice(["<div>", "</div>", "<p>", "<a href=x>", "</a>", "<ul><li>", "</ul>", "<b>", "</b>", "some words ", LONG, "<script>x</script>", "<section>", "</section>"]) for _ in range(40))
+        root = html_text.parse(page)
+        assert [n.density for n in html_text.measure(root)] == pytest.approx(densities(root))
+
+
+def cut_body(page):
+    """The text of the whole page less what its names mark."""
+    root = html_text.parse(page)
+    for n in html_text._walk(root):
+        n.cut = n.cut or 0
+    return html_text.text_of(next(n for n in html_text._walk(root) if n.tag == "body"))
+
+
+def test_html_density_decides_without_any_names():
+    nav = "<div><ul>" + "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(9)) + "</ul></div>"
+    text = "".join(f"<p>{i} {LONG}</p>" for i in range(4))
+    page = f"<body>{nav}<div>Buy one, get two.</div><div><h1>Title</h1>{text}</div><div>&copy; a company</div></body>"
+    want = "\n".join(["Title", *(f"{i} {LONG.strip()}" for i in range(4))])
+    assert html_text.extract(page) == want != cut_body(page)
+    wrapped = f"<body><div><div>{nav}</div><div><div>{text}</div><div>Buy one, get two.</div></div></div></body>"
+    assert html_text.extract(wrapped) == want.removeprefix("Title\n") != cut_body(wrapped)
+
+
+def test_html_density_decides_on_the_test_pages(spark):
+    """Articles in a div, and no element or class that marks boilerplate: those well over ten times as long as the blocks beside them are found exactly."""
+    long = 0
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        want = html_text.extract(r.html)
+        page = re.sub(r"<(/?)(?:article|nav|footer)>", r"<\1div>", r.html).replace('class="ad"', 'class="x"')
+        if len(want) > 1500:
+            long += 1
+            assert html_text.extract(page) == want
+    assert long > 10, long
+
+
+def test_html_names_are_a_feature_only():
+    body = lambda x: html_text.extract(f"<body><article><p>{LONG}</p>{x}<p>{LONG}</p></article></body>").split("\n")[1:-1]
+    keep = ["<p class='market share'>kept</p>", "<p class='related work'>kept</p>", "<section id='notice-of-rights'>kept</section>", "<p title='the hidden valley'>kept</p>", "<p data-x='a>b hidden'>kept</p>", "<h2 class=share>kept</h2>"]
+    assert [body(x) for x in keep] == [["kept"]] * len(keep)
+    assert body(f"<div class='market share'><p>{LONG}</p></div>") == [LONG.strip()]
+    gone = ["<div class=share>Tweet</div>", "<div hidden=''>gone</div>", "<div hidden>gone</div>", "<div class='widget xyz'>few words</div>", "<div style='display: none'>gone</div>", "<div role=navigation>gone</div>"]
+    assert [body(x) for x in gone] == [[]] * len(gone)
+
+
+@pytest.mark.parametrize("part", ["<div>", "<p>", "<b>", "<p><button>", "<table><tr><td>", "<b><table>", "<li>", "<div class=x>a<a href=y>"])
+def test_html_deep_pages_take_linear_time(part):
+    import time
+
+    began = time.process_time()
+    assert "deep" in html_text.extract("<body>" + part * 100_000 + "deep" + "</b></p></i></div>" * 100_000) or "button" in part
+    assert time.process_time() - began < 60
+
+
 def test_word_pieces():
     from sightline.llm.common import word_pieces
 
