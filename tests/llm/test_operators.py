@@ -127,11 +127,11 @@ def test_decontamination(spark):
         rows.append((d, " ".join(w)))
     docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
     want = brute.contaminated(rows, items)
-    for size in (1000, 4):
-        got = {r.doc_id: set(r.item_ids) for r in decontaminate.contaminated_documents(docs, bench, items_a_pass=size).collect()}
+    for size in (decontaminate.BROADCAST_BYTES, 0):  # as an index, and by a join
+        got = {r.doc_id: set(r.item_ids) for r in decontaminate.contaminated_documents(docs, bench, broadcast_bytes=size).collect()}
         assert got == want
-    left = decontaminate.drop_contaminated(docs, bench).select("doc_id").toPandas().doc_id
-    assert set(left) == {d for d, _ in rows} - set(want)
+        left = decontaminate.drop_contaminated(docs, bench, broadcast_bytes=size).select("doc_id").toPandas().doc_id
+        assert set(left) == {d for d, _ in rows} - set(want)
     assert decontaminate.find_contamination(docs, bench.limit(0)).count() == 0
     assert decontaminate.find_contamination(docs.limit(0), bench).count() == 0
 
@@ -152,6 +152,8 @@ def test_decontamination_of_texts_shorter_than_an_item(spark):
     want = {d: short.get(d, set()) | same.get(d, set()) for d in {*short, *same}}
     assert len(short) > 20
     found = decontaminate.find_contamination(docs, bench).collect()
+    joined = decontaminate.find_contamination(docs, bench, broadcast_bytes=0).collect()
+    assert sorted(map(tuple, joined)) == sorted(map(tuple, found))
     got = {}
     for x in found:
         got.setdefault(x.doc_id, set()).add(x.item_id)
@@ -175,6 +177,40 @@ def test_index_finds_every_fingerprint_within_the_radius():
     assert set(zip(w.tolist(), i.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
 
 
+def test_decontamination_recall_near_the_threshold():
+    """Windows with a similarity of 0.8 to 0.85, among other words: the fingerprints find 0.98 of them or more."""
+    r = random.Random(12)
+    pool = [f"v{i}" for i in range(4000)]
+    items = [(i, " ".join(r.choices(pool, k=r.randint(40, 90)))) for i in range(300)]
+    index, memo, near, found = decontaminate.Index(items, 5, 80), near_dup.WordHash(), 0, 0
+    for i, text in items:
+        for _ in range(8):
+            w = text.split()
+            for _ in range(r.randint(1, 3)):
+                w[r.choice([0, 1, 2, -1, -2, r.randrange(len(w))])] = "other"
+            both, union = decontaminate.similarity(*(decontaminate.Counter(near_dup.shingles(decontaminate.words_of(x, memo), 5).tolist()) for x in (" ".join(w), text)))
+            if 80 <= 100 * both / union < 85:
+                near += 1
+                found += i in [m[0] for m in index.matches(" ".join([*r.choices(pool, k=50), *w, *r.choices(pool, k=50)]), memo)]
+    assert near > 300 and found >= 0.98 * near
+
+
+def test_decontamination_of_null_ids_repeated_rows_and_clashing_names(spark, tmp_path):
+    item = " ".join(words(30, 77))
+    clash = ["_held", "_key", "_d", "version", "_v", "item_id"]
+    rows = [(None, "x " + item), (None, "clean text"), (None, None), (1, item), (1, item), (1, "clean too"), (2, "y " * 200_000 + item + " z" * 200_000)]
+    docs = spark.createDataFrame([(*x, *clash) for x in rows], DOCS + ", " + ", ".join(f"`{c}` string" for c in clash))
+    bench = spark.createDataFrame([(5, item), (6, item)], "item_id long, text string")
+    for size in (decontaminate.BROADCAST_BYTES, 0):
+        left = decontaminate.drop_contaminated(docs, bench, broadcast_bytes=size)
+        assert left.columns == docs.columns
+        assert sorted((x.doc_id or 0, x.text or "", x._held) for x in left.collect()) == [(0, "", "_held"), (0, "clean text", "_held"), (1, "clean too", "_held")]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted((x.doc_id or 0, x.contaminated, tuple(x.item_ids)) for x in decontaminate.op3_query(spark, str(tmp_path)).collect())
+    assert got == [(0, False, ()), (0, False, ()), (0, True, (5, 6)), (1, False, ()), (1, True, (5, 6)), (1, True, (5, 6)), (2, True, (5, 6))]
+
+
 # ---- suffix dedup ----
 
 
