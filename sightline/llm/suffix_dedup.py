@@ -415,4 +415,6 @@ def cut_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text
 
 
 def op4_query(spark, sf_dir) -> DataFrame:
-    return cut_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 400, keep_bytes=False).drop("kept")
+    """The contract's columns, and ``repeated``: whether anything was removed."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return cut_repeats(docs, 400, keep_bytes=False).drop("kept").withColumn("repeated", F.col("n_removed") > 0)

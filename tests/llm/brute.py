@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -52,6 +54,42 @@ def cut_repeats(texts, length):
     return out
 
 
+def cut_repeats_by_hash(texts, length):
+    """cut_repeats for larger tables: windows by a 64-bit rolling hash of all of them, sorted."""
+    data = [(t or "").encode() for t in texts]
+    all_bytes = np.frombuffer(b"".join(data), np.uint8)
+    ends = np.cumsum([len(x) for x in data])
+    table = np.random.default_rng(1).integers(1, 2**63, 256, dtype=np.uint64)
+    base, n = 0x9E3779B97F4A7C15, len(all_bytes) - length + 1
+    mixed = np.empty(n, np.uint64)
+    step = 1 << 22
+    with np.errstate(over="ignore"):
+        power, inverse = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(step + length, np.uint64(b))])) for b in (base, pow(base, -1, 1 << 64)))
+        for at in range(0, n, step):
+            m = min(step, n - at)
+            value = table[all_bytes[at : at + m + length - 1]]
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * power[: len(value)], dtype=np.uint64)])
+            h = (upto[length : length + m] - upto[:m]) * inverse[:m]
+            h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+            mixed[at : at + m] = h ^ (h >> np.uint64(29))
+    inside = np.zeros(n, bool)
+    for x, z in zip([0, *ends[:-1]], ends, strict=True):
+        inside[x : max(x, z - length + 1)] = True
+    place = np.flatnonzero(inside)
+    order = np.argsort(mixed[place])
+    same = np.diff(mixed[place][order]) == 0
+    again = place[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
+    edge = np.zeros(len(all_bytes) + 1, np.int64)
+    np.add.at(edge, again, 1), np.add.at(edge, again + length, -1)
+    gone = np.cumsum(edge)[:-1] > 0
+    out = []
+    for x, z, b in zip([0, *ends[:-1]], ends, data, strict=True):
+        g = gone[x:z]
+        kept = np.frombuffer(b, np.uint8)[~g].tobytes()
+        out.append((len(b), int(g.sum()), int(np.count_nonzero(np.diff(np.concatenate([[0], g.astype(np.int8)])) == 1)), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
 def edit_at_most_one(a, b):
     if abs(len(a) - len(b)) > 1:
         return False

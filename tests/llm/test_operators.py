@@ -228,6 +228,17 @@ def test_suffix_dedup(spark, monkeypatch, most):
     assert got == dict(enumerate(brute.cut_repeats(texts, 60)))
 
 
+def test_suffix_dedup_query_over_ten_thousand_documents(spark):
+    """op4 over the whole sf0.1 table equals a count of all its windows, row by row."""
+    sf = SF.replace("0.001", "0.1")
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = brute.cut_repeats_by_hash([r.text for r in rows], 400)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.op4_query(spark, sf).collect()}
+    assert got == {r.doc_id: w for r, w in zip(rows, want, strict=True)} and sum(w[1] > 0 for w in want) > 1000
+    small = [r.text for r in rows[:40]]
+    assert brute.cut_repeats_by_hash(small, 400) == brute.cut_repeats(small, 400)
+
+
 def test_suffix_dedup_of_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame([(None, "q" * 10 + "".join(map(str, range(200)))), (None, "q" * 10 + "".join(map(str, range(200))))], DOCS)
     got = suffix_dedup.cut_repeats(df, 400).collect()
