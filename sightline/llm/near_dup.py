@@ -4,7 +4,7 @@ A document's signature is K min-hashes of b = 16 bits. Two sets with Jaccard J d
 K(1 - J) of them, so a radius r is set 4.2 standard deviations above that. The signature is split
 into m chunks with 2m > r: by pigeonhole, two signatures within r differ in at most one value of
 some chunk. Each chunk therefore emits one key per value, with that value left out (all errors that
-are allowed); every pair within the radius shares a key. Candidates are compared on full sets.
+are allowed); every pair within the radius shares a key. Pairs within it are compared on full sets.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ K = 72
 BLOCK = 1024
 #: Members that one copy of a hub's set serves.
 LEADER_ROWS = 256
+#: Pairs within the radius, for each member of two blocks, beyond which the blocks' sets are compared as a whole.
+DENSE = 16
 #: Shingles of such a block, about: 16 MB of hashes.
 BLOCK_SHINGLES = 2_000_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -86,13 +88,27 @@ def _signature(sets: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         return (_mix(out) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def _keys(signature: np.ndarray, m: int) -> np.ndarray:
-    """One key for each value of each chunk: the chunk's other values."""
+def _keys(signatures: np.ndarray, m: int) -> np.ndarray:
+    """For each signature one key for each value of each chunk: the chunk's other values."""
+    width = signatures.shape[1]
     with np.errstate(over="ignore"):
-        value = _mix(signature.astype(np.uint64) + (np.arange(len(signature), dtype=np.uint64) << np.uint64(20)) + np.uint64(1))
-        out = np.empty(len(signature), np.uint64)
-        for c in np.array_split(np.arange(len(signature)), m):
-            out[c] = _mix(value[c].sum(dtype=np.uint64) - value[c] + _mix(c.astype(np.uint64) + np.uint64(99)))
+        value = _mix(signatures.astype(np.uint64) + (np.arange(width, dtype=np.uint64) << np.uint64(20)) + np.uint64(1))
+        out = np.empty(signatures.shape, np.uint64)
+        for c in np.array_split(np.arange(width), m):
+            out[:, c] = _mix(value[:, c].sum(1, dtype=np.uint64, keepdims=True) - value[:, c] + _mix(c.astype(np.uint64) + np.uint64(99)))
+    return out
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    """A row for each signature of a binary column."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), K)
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of values in which each signature of ``a`` differs from each of ``b``."""
+    out = np.zeros((len(a), len(b)), np.uint8)
+    for x, y in zip(a.T, b.T, strict=True):
+        out += x[:, None] != y[None, :]
     return out
 
 
@@ -170,14 +186,28 @@ def _link_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
 
 
-def _leader_links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between the members of each bucket and its smallest member: linear in the
-    bucket's size. A hub's set is sent once for every LEADER_ROWS members."""
-    pairs = stash(shared.where("node > hub").select("node", "hub").distinct(), "leader-pairs")
-    parts = stash(pairs.groupBy("hub").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("parts")), "leader-parts")
+def _within(pairs: DataFrame, marks: DataFrame, percent: int, radius: int) -> DataFrame:
+    """Of distinct pairs (hub, node) those with a signature distance within the radius and sizes that
+    allow the similarity. marks: node, sig, n."""
+    a = pairs.join(marks.select("node", "sig", "n"), "node")
+    both = a.join(marks.select(F.col("node").alias("hub"), F.col("sig").alias("sig2"), F.col("n").alias("n2")), "hub").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select("hub", "node", "sig", "sig2")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 4096):
+            if b.num_rows:
+                fit = (_signatures(b.column(2)) != _signatures(b.column(3))).sum(1) <= radius
+                yield b.select([0, 1]).filter(pa.array(fit))
+
+    return both.mapInArrow(near, "hub long, node long")
+
+
+def _links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) among the pairs (hub, node), on full sets. A hub's set is sent once for every
+    LEADER_ROWS of its pairs."""
+    parts = stash(pairs.groupBy("hub").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("parts")), "hub-parts")
     members = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node")
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"))
-    dealt = members.unionByName(hubs).join(sets.select("node", "set"), "node").select("hub", "part", "node", "set").repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("node") != F.col("hub"))
+    dealt = members.unionByName(hubs).join(sets, "node").select("hub", "part", "node", "set").repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("node") != F.col("hub"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = held = None
@@ -195,18 +225,34 @@ def _leader_links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return dealt.mapInArrow(compare, _LINKS)
 
 
-def _block_links(shared: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _groups_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(key, rows) of rows that arrive sorted by their first ``width`` columns; a group is a bounded pair of blocks."""
+    at, held = None, []
+    for b in slices(batches):
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if row[:width] != at:
+                if held:
+                    yield at, held
+                at, held = row[:width], []
+            held.append(row[width:])
+    if held:
+        yield at, held
+
+
+def _open_links(shared: DataFrame, component: DataFrame, marks: DataFrame, sets: DataFrame, percent: int, radius: int) -> DataFrame:
     """Links (u, v) within buckets whose members are in several components still.
 
     Buckets of equal members are looked at once. A bucket's members go to blocks, those of a large
     component to blocks of their own, and pairs of blocks are compared but for pairs of blocks of
-    one component, whose members need no more links. A member is sent once for every block that
-    holds members of other components."""
+    one component, whose members need no more links. Signatures are compared first. Where few pairs
+    of a pair of blocks are within the radius, these are compared on full sets; where many are, the
+    two blocks' sets are brought together and compared there, so that no group emits its pairs."""
     named = shared.select("key", "node").join(component.select(F.col("id").alias("node"), "component"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
     named = stash(named, "bucket-members")
     several = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("z"), F.count("*").alias("n"), *[F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in range(2)]).where("a < z")
     once = stash(several.groupBy("n", "s0", "s1").agg(F.min("key").alias("key")).select("key"), "open-buckets")
-    left = stash(named.join(once, "key", "left_semi").join(sets.select("node", "n"), "node"), "open-members")
+    left = stash(named.join(once, "key", "left_semi").join(marks.select("node", "n"), "node"), "open-members")
+    unstash(named), unstash(once)
 
     def parts(count, size):
         return F.greatest(F.ceil(count / BLOCK), F.ceil(size / BLOCK_SHINGLES)).cast("int")
@@ -219,31 +265,54 @@ def _block_links(shared: DataFrame, component: DataFrame, sets: DataFrame, perce
     blocks = placed.select("key", F.struct("owner", "part").alias("block")).distinct()
     # pairs of blocks, one row each; those of a pooled block with itself too
     pairs = blocks.join(blocks.withColumnRenamed("block", "other"), "key").where((F.col("block") <= F.col("other")) & ((F.col("block.owner") < 0) | (F.col("block.owner") != F.col("other.owner"))))
-    pairs = stash(pairs.select("key", F.col("block").alias("i"), F.col("other").alias("j")), "block-pairs")
-    sent = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")).select("key", "i", "j", "block", F.col("block.owner").alias("owner"), F.col("block.part").alias("part"))
-    work = placed.join(sent, ["key", "owner", "part"]).select("key", "i", "j", (F.col("block") == F.col("i")).alias("first"), "node", "comp")
-    dealt = work.join(sets.select("node", "set"), "node").select("key", F.col("i.owner").alias("io"), F.col("i.part").alias("ip"), F.col("j.owner").alias("jo"), F.col("j.part").alias("jp"), "first", "node", "comp", "set")
-    dealt = dealt.repartition("key", "io", "ip", "jo", "jp").sortWithinPartitions("key", "io", "ip", "jo", "jp", F.desc("first"), "node")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of blocks arrive whole and sorted, one after the other."""
-        at, ids, held, comps, first = None, [], [], [], 0
-
-        def close():
-            return link_block(ids, held, first if at[1:3] != at[3:] else 0, percent, comps) if len(ids) > 1 else []
-
-        for b in slices(batches):
-            found = []
-            for *key, is_first, node, comp, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if at != key:
-                    found += close()
-                    at, ids, held, comps, first = key, [], [], [], 0
-                ids.append(node), held.append(np.frombuffer(data, np.uint64)), comps.append(comp)
-                first += is_first
-            yield _link_batch(found)
-        yield _link_batch(close())
-
-    return dealt.mapInArrow(compare, _LINKS)
+    at = ["key", "io", "ip", "jo", "jp"]
+    pairs = stash(pairs.select("key", *[F.col(f"{x}.{y}").alias(z) for z, x, y in (("io", "block", "owner"), ("ip", "block", "part"), ("jo", "other", "owner"), ("jp", "other", "part"))]), "block-pairs")
+
+    def dealt(pairs: DataFrame, payload: DataFrame) -> DataFrame:
+        """The members of both blocks of each pair, those of the first block first."""
+        ends = F.explode(F.array_distinct(F.array(F.struct(F.col("io").alias("owner"), F.col("ip").alias("part")), F.struct(F.col("jo").alias("owner"), F.col("jp").alias("part")))))
+        sent = pairs.select(*at, ends.alias("e")).select(*at, "e.*")
+        work = placed.join(sent, ["key", "owner", "part"]).join(payload, "node")
+        first = (F.col("owner") == F.col("io")) & (F.col("part") == F.col("ip"))
+        return work.select(*at, first.alias("first"), "node", "comp", payload.columns[1]).repartition(*at).sortWithinPartitions(*at, F.desc("first"), "node")
+
+    def by_signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+
+        def out():
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=["hub", "node", *at])
+
+        for key, held in _groups_of(batches, 5):
+            first = sum(r[0] for r in held)
+            nodes, comp = np.array([r[1] for r in held]), np.array([r[2] for r in held])
+            sig = np.frombuffer(b"".join(r[3] for r in held), np.uint16).reshape(-1, K)
+            alone = key[1:3] == key[3:]
+            x, y = (slice(None), slice(None)) if alone else (slice(0, first), slice(first, None))
+            near = (distances(sig[x], sig[y]) <= radius) & (comp[x][:, None] != comp[y][None, :])
+            i, j = np.nonzero(np.triu(near) if alone else near)
+            if len(i) > DENSE * len(held):
+                rows.append((None, None, *key))
+            else:
+                a, b = nodes[x][i], nodes[y][j]
+                rows.extend((*p, None, None, None, None, None) for p in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+            if len(rows) > 10_000:
+                yield out()
+                rows.clear()
+        yield out()
+
+    schema = "hub long, node long, key long, io long, ip int, jo long, jp int"
+    found = stash(dealt(pairs, marks.select("node", "sig")).mapInArrow(by_signature, schema), "open-pairs")
+    few = stash(found.where("hub is not null").select("hub", "node").distinct().join(marks.select("node", "n"), "node").join(marks.select(F.col("node").alias("hub"), F.col("n").alias("n2")), "hub").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select("hub", "node"), "few-pairs")
+
+    def by_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, held in _groups_of(batches, 5):
+            first = sum(r[0] for r in held)
+            yield _link_batch(link_block([r[1] for r in held], [np.frombuffer(r[3], np.uint64) for r in held], first if key[1:3] != key[3:] else 0, percent, [r[2] for r in held]))
+
+    many = found.where("hub is null").select(*at)
+    links = _links_of(few, sets, percent)
+    return links if many.isEmpty() else links.unionByName(dealt(many, sets).mapInArrow(by_sets, _LINKS))
 
 
 def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,38 +325,45 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str
     a group of copies costs as much as one text. Nodes are classes, not ids: rows that repeat an id
     with another text are documents of their own, and null ids take part like any other.
 
-    Candidates are the buckets of equal keys. First the members of each bucket are compared with
-    its smallest member; most buckets are then of one component. In those that are not, pairs of
-    blocks are compared, at every size alike, so that no pair of documents is emitted but links.
+    Candidates are the pairs of a bucket of equal keys whose signatures are within the radius. First
+    the members of each bucket are compared with its smallest member; most buckets are then of one
+    component. In those that are not, the members of unlike components are compared, in pairs of
+    blocks, at every size alike.
     """
     m = chunks_for(percent / 100)
     seeds = np.random.default_rng(20240501).integers(1, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    schema = "doc_id long, version long, n_shingles long, c1 long, c2 long, keys array<long>"
+    schema = "doc_id long, version long, n_shingles long, c1 long, c2 long, sig binary"
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHash()
         for b in slices(batches):
-            n, c1, c2, keys = [], [], [], []
+            n, c1, c2, sig = [], [], [], []
             for text in b.column(2).to_pylist():
                 s = shingle_hashes(text, words, memo)
                 n.append(len(s))
                 if not len(s):
-                    c1.append(0), c2.append(0), keys.append(None)
+                    c1.append(0), c2.append(0), sig.append(None)
                     continue
                 with np.errstate(over="ignore"):
                     c1.append(int(_mix(s).sum(dtype=np.uint64).view(np.int64)))
                     c2.append(int(_mix(s + np.uint64(77)).sum(dtype=np.uint64).view(np.int64)))
-                keys.append(_keys(_signature(s, seeds), m).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "version", "n_shingles", "c1", "c2", "keys"])
+                sig.append(_signature(s, seeds).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(sig, pa.binary())], names=["doc_id", "version", "n_shingles", "c1", "c2", "sig"])
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 4096):
+            if b.num_rows:
+                same = pa.array(np.repeat(np.arange(b.num_rows), K))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(same), pa.array(_keys(_signatures(b.column(1)), m).ravel().view(np.int64))], names=["node", "key"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.col(text_col).alias("text"))
     sketches = stash(texts.mapInArrow(sketch, schema), "sketches")
     doc = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "version")
     member = sketches.select("doc_id", "version", "n_shingles", "c1", "c2")
     # classes of equal sets, by size and 128 bits of the set's sum; numbered as they are written
-    classes = sketches.where("n_shingles > 0").groupBy("n_shingles", "c1", "c2").agg(F.min(doc).alias("rep"), F.first("keys").alias("keys"))
+    classes = sketches.where("n_shingles > 0").groupBy("n_shingles", "c1", "c2").agg(F.min(doc).alias("rep"), F.first("sig").alias("sig"))
     classes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    keyed = stash(classes.select("node", F.explode("keys").alias("key")), "keys")
+    keyed = stash(classes.select("node", "sig").mapInArrow(keys, "node long, key long"), "keys")
     # buckets with two members or more, as stars around their smallest member
     # (written, so that the join has a plain exchange on both sides and a hot key can be split)
     hubs = stash(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("key", "hub"), "hubs")
@@ -303,9 +379,11 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str
     asked = classes.select("node", "rep.*").join(shared.select("node").distinct(), "node", "left_semi")
     asked = stash(asked.select("node", F.col("doc_id").alias("_d"), F.col("version").alias("_v")), "asked")
     rows = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v"))).select("node", "text").dropDuplicates(["node"])
-    sets = stash(rows.mapInArrow(set_bytes, "node long, set binary").withColumn("n", (F.octet_length("set") / 8).cast("long")), "sets")
-    star = stash(connected_components(stash(_leader_links(shared, sets, percent), "leader-links")), "leader-components")
-    more = stash(_block_links(shared, star, sets, percent), "block-links")
+    sets = stash(rows.mapInArrow(set_bytes, "node long, set binary"), "sets")
+    marks = stash(classes.select("node", "sig", F.col("n_shingles").alias("n")).join(sets.select("node"), "node", "left_semi"), "marks")
+    leaders = stash(_within(shared.where("node > hub").select("node", "hub").distinct(), marks, percent, 2 * m - 1), "leader-pairs")
+    star = stash(connected_components(stash(_links_of(leaders, sets, percent), "leader-links")), "leader-components")
+    more = stash(_open_links(shared, star, marks, sets, percent, 2 * m - 1), "open-links")
     comps = star if more.isEmpty() else stash(connected_components(star.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more)), "components")
     # the first document of each component of several classes
     named = stash(comps.join(classes.select(F.col("node").alias("id"), "rep"), "id").select("id", "component", "rep"), "component-members")

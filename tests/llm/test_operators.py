@@ -274,17 +274,22 @@ def test_near_duplicates(spark, monkeypatch, k, percent, block):
     assert got == brute.near_components(rows, k, percent)
 
 
-@pytest.mark.parametrize("block", [near_dup.BLOCK, 4])
-def test_block_links_join_what_leaders_leave_apart(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,dense", [(near_dup.BLOCK, near_dup.DENSE), (4, near_dup.DENSE), (4, 0)])
+def test_open_links_join_what_leaders_leave_apart(spark, monkeypatch, block, dense):
     monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "DENSE", dense)  # 0: the sets of all blocks with a candidate are brought together
     r = random.Random(block)
-    chain = [frozenset(range(i, i + 60)) for i in range(0, 240, 3)]  # neighbours are linked, ends are not
+    chain = [frozenset(range(i, i + 60)) for i in range(1, 241, 3)]  # neighbours are linked, ends are not
     sets = [*chain, *(frozenset(r.sample(range(1000, 1100), 60)) for _ in range(20))]
-    data = [(i, np.array(sorted(x), np.uint64).tobytes(), len(x)) for i, x in enumerate(sets)]
-    s = spark.createDataFrame(data, "node long, set binary, n long")
+    seeds = np.random.default_rng(1).integers(1, 2**63, near_dup.K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    data = [(i, near_dup._mix(np.array(sorted(x), np.uint64))) for i, x in enumerate(sets)]
+    s = spark.createDataFrame([(i, np.sort(x).tobytes()) for i, x in data], "node long, set binary")
+    marks = spark.createDataFrame([(i, near_dup._signature(x, seeds).tobytes(), len(x)) for i, x in data], "node long, sig binary, n long")
     shared = spark.createDataFrame([(key, i, 0) for key in (5, 6) for i in range(len(sets))], "key long, node long, hub long")  # one hot bucket, twice
-    star = connected_components(near_dup._leader_links(shared, s, 85))
-    links = star.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(near_dup._block_links(shared, star, s, 85))
+    radius = 2 * near_dup.chunks_for(0.85) - 1
+    leaders = near_dup._within(shared.where("node > hub").select("node", "hub").distinct(), marks, 85, radius)
+    star = connected_components(near_dup._links_of(leaders, s, 85))
+    links = star.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(near_dup._open_links(shared, star, marks, s, 85, radius))
     got = {x.id: x.component for x in connected_components(links).collect()}
     linked = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
     want = {}
@@ -325,7 +330,8 @@ def test_signatures_within_the_radius_share_a_key():
         a = rng.integers(0, 1 << 16, near_dup.K).astype(np.uint16)
         b = a.copy()
         b[rng.choice(near_dup.K, 2 * m - 1, replace=False)] ^= 1
-        assert set(near_dup._keys(a, m).tolist()) & set(near_dup._keys(b, m).tolist())
+        assert np.intersect1d(*near_dup._keys(np.stack([a, b]), m)).size
+        assert near_dup.distances(a[None], b[None])[0, 0] == 2 * m - 1
 
 
 def test_components_of_a_long_path(spark):
