@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
 from functools import cache
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -190,12 +192,18 @@ class Enrollment:
             now["enrollment_type"] = kind
         return now["id"]
 
+    def given_off(self) -> list[dict]:
+        """The ghosts since the last call."""
+        out, self.ghosts = [self._plain(g) for g in self.ghosts], []
+        return out
+
     def rows(self) -> list[dict]:
+        return [*([self._plain(self.now)] if self.now else []), *self.given_off()]
+
+    @staticmethod
+    def _plain(r: dict) -> dict:
         plain = lambda v: None if v is None else np.asarray(v, np.float64).tolist()
-        out = []
-        for r in [*([self.now] if self.now else []), *self.ghosts]:
-            out.append(r | {"face": plain(r["face"]), "reid": plain(r["reid"]), "shards": [x | {"face": plain(x["face"]), "reid": plain(x["reid"])} for x in r["shards"]]})
-        return out
+        return r | {"face": plain(r["face"]), "reid": plain(r["reid"]), "shards": [x | {"face": plain(x["face"]), "reid": plain(x["reid"])} for x in r["shards"]]}
 
 
 def enroll(enrollments: DataFrame, bank: DataFrame | None = None, settings: Settings = SETTINGS, compat: bool = True) -> DataFrame:
@@ -205,15 +213,19 @@ def enroll(enrollments: DataFrame, bank: DataFrame | None = None, settings: Sett
     vectors counts 2 sightings, and a shard that takes vectors in lets the primary take them too."""
     vec = lambda v: None if v is None else np.asarray(v, np.float64)
 
-    def fold(rows: list[dict]) -> list[dict]:
-        held = rows[0]["state"]
-        if held is not None:
-            held = held | {"face": vec(held["face"]), "reid": vec(held["reid"]), "shards": [x | {"face": vec(x["face"]), "reid": vec(x["reid"])} for x in held["shards"] or ()]}
-        e = Enrollment(rows[0]["project_id"], rows[0]["bib"], settings, compat, held)
+    def fold(rows: Iterator[dict]) -> Iterator[dict]:
+        """Constant state: ghosts are given off as they come."""
+        e = None
         for r in rows:
+            if e is None:
+                held = r["state"]
+                if held is not None:
+                    held = held | {"face": vec(held["face"]), "reid": vec(held["reid"]), "shards": [x | {"face": vec(x["face"]), "reid": vec(x["reid"])} for x in held["shards"] or ()]}
+                e = Enrollment(r["project_id"], r["bib"], settings, compat, held)
             if r["state"] is None:
                 e.add(r["seq"], r["face"], r["reid"], r["match_type"])
-        return e.rows()
+            yield from e.given_off()
+        yield from e.rows()
 
     columns = ["project_id", "bib", "seq", "face", "reid", "match_type"]
     doubles = "array<double>"

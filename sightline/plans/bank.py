@@ -190,32 +190,42 @@ def identity_bank(spark, sf_dir):
     return bank.enroll(_enrollments(spark, sf_dir)).select("id", "project_id", "bib", "sighting_count", "enrollment_type", F.size("shards").alias("shards"))
 
 
-def _detections(spark, sf_dir):
-    """Detections out of orders (photos), line items (boxes) and embeddings (vectors); a burst is 6 photos."""
+def _boxes(spark, sf_dir):
+    """Boxes out of orders (photos) and line items, all but their vectors; a burst is 6 photos of 2 cameras,
+    whose order is not that of the photos' names."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     li = table(spark, sf_dir, "lineitem").withColumn("seq", F.row_number().over(w))
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    n = e.count()
-    li = li.withColumn("vec_id", F.col("l_partkey") % n).join(e, "vec_id")
+    n = table(spark, sf_dir, "embeddings").count()
     bib = (100 + F.col("l_partkey") % n).cast("string")
-    return li.select(F.lit("p").alias("project_id"), F.floor(F.col("l_orderkey") / 6).cast("string").alias("burst_id"), F.col("l_orderkey").cast("string").alias("photo_id"), F.lit(None).cast("string").alias("camera_serial"), F.col("seq").cast("long").alias("seq"),
+    camera = F.element_at(F.array(F.lit("cam-b"), F.lit("cam-a"), F.lit(None)), (F.col("l_orderkey") % 3 + 1).cast("int"))
+    return li.select(F.lit("p").alias("project_id"), F.floor(F.col("l_orderkey") / 6).cast("string").alias("burst_id"), F.col("l_orderkey").cast("string").alias("photo_id"), camera.alias("camera_serial"), F.col("seq").cast("long").alias("seq"),
                      F.col("l_quantity").alias("x1"), (F.col("seq") * 9.0).alias("y1"), (F.col("l_quantity") + 20).alias("x2"), (F.col("seq") * 9.0 + 30).alias("y2"), (0.5 + F.col("l_discount") * 4).alias("confidence"),
-                     (F.col("l_orderkey") % 86400).cast("double").alias("sod"), (F.col("l_tax") > 0.06).alias("is_blurry"), (0.6 + F.col("l_discount") * 3).alias("face_quality"), F.col("v").alias("face_vec"), F.when(F.col("l_returnflag") != "N", F.col("v")).alias("reid_vec"),
+                     (F.col("l_orderkey") % 86400).cast("double").alias("sod"), (F.col("l_tax") > 0.06).alias("is_blurry"), (0.6 + F.col("l_discount") * 3).alias("face_quality"), (F.col("l_partkey") % n).alias("vec_id"), (F.col("l_returnflag") != "N").alias("has_reid"),
                      F.when(F.col("l_linestatus") == "F", F.array(F.struct(bib.alias("bib_number"), (0.5 + F.col("l_tax") * 5).alias("ocr_confidence")))).otherwise(F.array().cast("array<struct<bib_number:string,ocr_confidence:double>>")).alias("bibs"))
 
 
+def _detections(spark, sf_dir, boxes):
+    """Boxes with their vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("face_vec"))
+    return boxes.join(vectors, "vec_id").withColumn("reid_vec", F.when(F.col("has_reid"), F.col("face_vec")))
+
+
+def _participants(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.lit("p").alias("project_id"), (100 + F.col("c_custkey")).cast("string").alias("bib"), F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") * 71 % 15000).cast("double")).alias("finish"), (F.col("c_custkey") % 7 != 0).alias("valid"))
+
+
 def _resolved(spark, sf_dir):
-    d = _detections(spark, sf_dir)
-    p = table(spark, sf_dir, "customer").select(F.lit("p").alias("project_id"), (100 + F.col("c_custkey")).cast("string").alias("bib"), F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") * 71 % 15000).cast("double")).alias("finish"), (F.col("c_custkey") % 7 != 0).alias("valid"))
-    hints = bursts.timing_hints(d, p.where("finish is not null")).groupBy("project_id", "burst_id").agg(F.sort_array(F.collect_set("bib")).alias("hints"))
-    clusters = written(bursts.cluster_bursts(d.join(hints, ["project_id", "burst_id"], "left")), "clusters")
-    sods = d.groupBy("project_id", "burst_id").agg(F.min_by("sod", "photo_id").alias("sod"))
-    return clusters, sods, p
+    boxes, p = written(_boxes(spark, sf_dir), "boxes"), _participants(spark, sf_dir)
+    photos = written(boxes.groupBy("project_id", "burst_id", "photo_id").agg(F.min("sod").alias("sod")), "burst-photos")
+    hints = bursts.timing_hints(photos, p.where("finish is not null")).groupBy("project_id", "burst_id").agg(F.sort_array(F.collect_set("bib")).alias("hints"))
+    d = _detections(spark, sf_dir, boxes).join(hints, ["project_id", "burst_id"], "left")
+    clusters = written(bursts.cluster_bursts(d), "clusters")
+    return clusters, photos.groupBy("project_id", "burst_id").agg(F.min_by("sod", "photo_id").alias("sod")), p
 
 
 @query("burst_cluster")
 def burst_cluster(spark, sf_dir):
-    return _resolved(spark, sf_dir)[0].select("project_id", "burst_id", "cluster", "bib", F.round("conf", 6).alias("conf"), "size", "photos", "seqs")
+    return _resolved(spark, sf_dir)[0].select("project_id", "burst_id", "cluster", "bib", F.round("conf", 6).alias("conf"), "size", "photos", "boxes")
 
 
 @query("rule_cascade")
@@ -229,7 +239,7 @@ def scribe_tasks(spark, sf_dir):
     clusters, sods, p = _resolved(spark, sf_dir)
     done = clusters.join(bursts.resolve_bursts(clusters, sods, p), ["project_id", "burst_id", "cluster"])
     done = written(done.select("project_id", "burst_id", "cluster", "assigned_bib", "match_type", F.col("bib").alias("consensus_bib"), F.col("conf").alias("consensus_conf")), "resolved")
-    photos = clusters.select("project_id", "burst_id", "cluster", F.explode(F.arrays_zip("photos", "seqs")).alias("x")).select("project_id", "burst_id", "cluster", F.col("x.photos").alias("photo_id"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), F.lit(10.0).alias("x2"), F.lit(20.0).alias("y2"), F.lit(0).alias("img_width"), F.lit(0).alias("img_height"), F.lit(0.9).alias("confidence"), F.lit(None).cast("string").alias("ocr_bib"), F.lit(None).cast("double").alias("ocr_confidence"))
+    photos = clusters.select("project_id", "burst_id", "cluster", F.explode("boxes").alias("x")).select("project_id", "burst_id", "cluster", F.col("x.photo_id").alias("photo_id"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), F.lit(10.0).alias("x2"), F.lit(20.0).alias("y2"), F.lit(0).alias("img_width"), F.lit(0).alias("img_height"), F.lit(0.9).alias("confidence"), F.lit(None).cast("string").alias("ocr_bib"), F.lit(None).cast("double").alias("ocr_confidence"))
     return messages.to_messages(reports.scribe_task(done, photos, ["project_id", "burst_id"]))
 
 

@@ -169,12 +169,22 @@ def test_metrics_and_non_fatal_sinks(spark, tmp_path):
 
 
 def test_detections_take_all_boxes_and_embeddings(spark):
-    from sightline.plans.bank import _detections
+    from sightline.plans.bank import _boxes, _detections
 
     from .conftest import SF
 
     boxes, vectors = spark.read.parquet(f"{SF}/lineitem.parquet"), spark.read.parquet(f"{SF}/embeddings.parquet")
-    d = _detections(spark, SF)
+    d = _detections(spark, SF, _boxes(spark, SF))
     assert d.count() == boxes.count()
     used = boxes.select((F.col("l_partkey") % vectors.count()).alias("vec_id")).distinct().join(vectors, "vec_id")
     assert d.select("face_vec").distinct().count() == used.select("embedding").distinct().count()
+
+
+def test_boxes_stay_with_their_photos(spark):
+    """Two cameras whose order is not that of the photos' names."""
+    from sightline.operators.bursts import cluster_bursts
+
+    rows = [("p", "b", photo, camera, seq, 0.0, 0.0, 9.0, 9.0, 0.9, 1.0, False, 0.9, [1.0, 0.0], [1.0, 0.0], [("123", 0.9)], None) for photo, camera, seq in (("z_photo", "camA", 11), ("a_photo", "camB", 22))]
+    schema = "project_id string, burst_id string, photo_id string, camera_serial string, seq long, x1 double, y1 double, x2 double, y2 double, confidence double, sod double, is_blurry boolean, face_quality double, face_vec array<double>, reid_vec array<double>, bibs array<struct<bib_number:string,ocr_confidence:double>>, hints array<string>"
+    got = cluster_bursts(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.photos, [tuple(b) for b in r.boxes]) for r in got] == [(["a_photo", "z_photo"], [("z_photo", 11), ("a_photo", 22)])]

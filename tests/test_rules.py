@@ -127,13 +127,19 @@ def test_tiebreak_gap(spark):
     assert got == {"a": (None, 2), "b": ("x", 2), "c": (None, 0), "d": ("x", 1)}
 
 
-def test_nearest_in_blocks_equals_one_block(spark):
+def test_nearest_in_blocks_equals_one_block(spark, monkeypatch):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(90)]
     g = spark.createDataFrame(rows, "identity_id long, vec array<double>")
     q = g.where("identity_id < 9").withColumnRenamed("identity_id", "query_id")
     key = lambda t: sorted((r.query_id, r.rank, r.identity_id) for r in t.collect())
     assert key(gallery.nearest(q, g, 4)) == key(gallery.nearest(q, g, 4, block_rows=20))
+    monkeypatch.setattr(gallery, "QUERY_ROWS", 7)  # several copies of each block
+    assert key(gallery.nearest(q, g, 4)) == key(gallery.nearest(q, g, 4, block_rows=20))
+    pairs = lambda n: sorted((r.a, r.b, round(r.similarity, 9)) for r in gallery.similar_pairs(g, 0.2, "identity_id", block_rows=n).collect())
+    assert pairs(10_000) == pairs(20) and pairs(20)
+    close = lambda n: sorted(map(tuple, gallery.close_pairs(g.withColumn("k", F.col("identity_id") % 3), q.withColumn("k", F.col("query_id") % 3), ["k"], 0.2, "identity_id", "query_id", "vec", n).collect()))
+    assert close(10_000) == close(20) and close(20)
     assert gallery.nearest(q, g.limit(0), 4).count() == 0
 
 
