@@ -11,7 +11,8 @@ from ..operators import bank, bursts, reports
 from ..sources import messages, participants
 from ..sources.schemas import RAW_INFERENCE
 from ..sources.work import work_path, written
-from ..streaming.bursts import bank_sink, detections_of, once, run_available
+from ..streaming.bursts import bank_sink, current_bank, detections_of, once, run_available
+from .burst_sql import BURST_CLUSTER, ENROLLED, RULE_CASCADE
 from .registry import query
 from .scalars import table
 
@@ -180,12 +181,17 @@ def ema_fold(spark, sf_dir):
 
 
 def _enrollments(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
+    """Enrollments out of embeddings, mixed with one of two base vectors of their bib so that all
+    degrees of likeness occur; ten to a burst."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
+    base = e.select(F.col("vec_id").alias("base"), F.col("e").alias("b"))
+    share = F.col("vec_id") % 4 + F.col("vec_id") % 9 * F.lit(0.25)
+    e = e.join(base, F.col("base") == F.col("label") % 5 + F.col("vec_id") % 2 * 10).withColumn("v", F.zip_with("e", "b", lambda x, y: x + share * y))
     kind = F.element_at(F.array(*map(F.lit, ["ghost_adopted", "golden_delayed", "ocr_unvalidated", "golden_sample"])), (F.col("vec_id") * 7 % 13 % 4 + 1).cast("int"))
-    return e.select(F.lit("p").alias("project_id"), (F.col("label") % 5).cast("string").alias("bib"), F.col("vec_id").alias("seq"), F.col("embedding").cast("array<double>").alias("face"), F.when(F.col("vec_id") % 3 == 0, F.col("embedding").cast("array<double>")).alias("reid"), kind.alias("match_type"), (F.col("vec_id") % 50).cast("string").alias("burst_id"))
+    return e.select(F.lit("p").alias("project_id"), (F.col("label") % 5).cast("string").alias("bib"), F.col("vec_id").alias("seq"), F.col("v").alias("face"), F.when(F.col("vec_id") % 3 == 0, F.col("v")).alias("reid"), kind.alias("match_type"), F.floor(F.col("vec_id") / 10).cast("string").alias("burst_id"))
 
 
-@query("identity_bank")
+@query("identity_bank", sql=f"with recursive {ENROLLED} select * from ids")
 def identity_bank(spark, sf_dir):
     return bank.enroll(_enrollments(spark, sf_dir)).select("id", "project_id", "bib", "sighting_count", "enrollment_type", F.size("shards").alias("shards"))
 
@@ -223,24 +229,42 @@ def _resolved(spark, sf_dir):
     return clusters, photos.groupBy("project_id", "burst_id").agg(F.min_by("sod", "photo_id").alias("sod")), p
 
 
-@query("burst_cluster")
+@query("burst_cluster", sql=BURST_CLUSTER)
 def burst_cluster(spark, sf_dir):
-    return _resolved(spark, sf_dir)[0].select("project_id", "burst_id", "cluster", "bib", F.round("conf", 6).alias("conf"), "size", "photos", "boxes")
+    boxes = F.transform("boxes", lambda x: F.concat_ws(":", x["photo_id"], x["seq"].cast("string"))).alias("boxes")
+    return _resolved(spark, sf_dir)[0].select("project_id", "burst_id", "cluster", "bib", F.round("conf", 6).alias("conf"), "size", "photos", boxes)
 
 
-@query("rule_cascade")
+@query("rule_cascade", sql=RULE_CASCADE)
 def rule_cascade(spark, sf_dir):
     clusters, sods, p = _resolved(spark, sf_dir)
     return bursts.resolve_bursts(clusters, sods, p)
 
 
-@query("scribe_tasks")
+@query("scribe_tasks", sql="""
+with s as (
+  select l_orderkey % 97 as burst_id, l_orderkey * 100 + row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as cluster, l_orderkey as photo_id, l_linenumber, l_quantity, l_discount, l_tax,
+         case when l_returnflag <> 'N' then (l_partkey % 300)::varchar end as assigned_bib, case when l_returnflag <> 'N' then 'golden_sample' when l_linenumber = 1 then 'ghost_multi_bib' else 'ghost' end as match_type,
+         case when l_linenumber % 3 <> 0 then (l_partkey % 300)::varchar end as consensus_bib, l_tax * 7 / 3 as consensus_conf from lineitem),
+d as (select *, unnest(case when l_linenumber % 2 = 0 then [0, 1] else [0] end) as more from s),
+n as (select burst_id, count(*) as cluster_count, count(assigned_bib) as matched_count, count(*) filter (where contains(match_type, 'ghost')) as ghost_count from s group by burst_id)
+select 3 as schema_version, burst_id, cluster, assigned_bib, match_type, consensus_bib, round(consensus_conf, 4) as consensus_conf, (photo_id + more)::varchar as photo_id,
+       round(l_quantity / (case when more = 1 then 640 else 1920 end), 4) as bbox_x, round(l_linenumber * 3.0::double / (case when more = 1 then 480 else 1280 end), 4) as bbox_y,
+       round(greatest(0, 20.0::double - l_quantity) / (case when more = 1 then 640 else 1920 end), 4) as bbox_w, round(30.0::double / (case when more = 1 then 480 else 1280 end), 4) as bbox_h,
+       round(greatest(0, 20.0::double - l_quantity) * 30 / (case when more = 1 then 640 * 480 else 1920 * 1280 end), 6) as area_pct,
+       round((l_discount + 0.5) / 3, 4) as confidence, case when more = 0 then consensus_bib end as ocr_bib, round(l_discount / 7, 4) as ocr_confidence, cluster_count, matched_count, ghost_count
+from d join n using (burst_id)
+""")
 def scribe_tasks(spark, sf_dir):
-    clusters, sods, p = _resolved(spark, sf_dir)
-    done = clusters.join(bursts.resolve_bursts(clusters, sods, p), ["project_id", "burst_id", "cluster"])
-    done = written(done.select("project_id", "burst_id", "cluster", "assigned_bib", "match_type", F.col("bib").alias("consensus_bib"), F.col("conf").alias("consensus_conf")), "resolved")
-    photos = clusters.select("project_id", "burst_id", "cluster", F.explode("boxes").alias("x")).select("project_id", "burst_id", "cluster", F.col("x.photo_id").alias("photo_id"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), F.lit(10.0).alias("x2"), F.lit(20.0).alias("y2"), F.lit(0).alias("img_width"), F.lit(0).alias("img_height"), F.lit(0.9).alias("confidence"), F.lit(None).cast("string").alias("ocr_bib"), F.lit(None).cast("double").alias("ocr_confidence"))
-    return messages.to_messages(reports.scribe_task(done, photos, ["project_id", "burst_id"]))
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    n, bib = F.col("l_linenumber"), (F.col("l_partkey") % 300).cast("string")
+    assigned = F.when(F.col("l_returnflag") != "N", bib)
+    s = table(spark, sf_dir, "lineitem").select("*", (F.col("l_orderkey") % 97).alias("burst_id"), (F.col("l_orderkey") * 100 + F.row_number().over(w)).alias("cluster"), assigned.alias("assigned_bib"), F.when(assigned.isNotNull(), "golden_sample").when(n == 1, "ghost_multi_bib").otherwise("ghost").alias("match_type"), F.when(n % 3 != 0, bib).alias("consensus_bib"), (F.col("l_tax") * 7 / 3).alias("consensus_conf"))
+    d = s.withColumn("more", F.explode(F.when(n % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    d = d.select("burst_id", "cluster", (F.col("l_orderkey") + F.col("more")).cast("string").alias("photo_id"), F.col("l_quantity").alias("x1"), (n * 3.0).alias("y1"), F.lit(20.0).alias("x2"), (n * 3.0 + 30).alias("y2"), (F.col("more") * 640).alias("img_width"), (F.col("more") * 480).alias("img_height"), ((F.col("l_discount") + 0.5) / 3).alias("confidence"), F.when(F.col("more") == 0, F.col("consensus_bib")).alias("ocr_bib"), (F.col("l_discount") / 7).alias("ocr_confidence"))
+    tasks = reports.scribe_task(s.select("burst_id", "cluster", "assigned_bib", "match_type", "consensus_bib", "consensus_conf"), d, ["burst_id"])
+    flat = tasks.select("schema_version", "burst_id", "cluster_count", "matched_count", "ghost_count", F.explode("intents").alias("i")).select("*", F.explode("i.detections").alias("d"))
+    return flat.select("schema_version", "burst_id", "i.cluster", "i.assigned_bib", "i.match_type", "i.consensus_bib", "i.consensus_conf", "d.photo_id", "d.bbox_x", "d.bbox_y", "d.bbox_w", "d.bbox_h", "d.area_pct", "d.confidence", "d.ocr_bib", "d.ocr_confidence", "cluster_count", "matched_count", "ghost_count")
 
 
 def _raw_bursts(spark, sf_dir):
@@ -277,14 +301,18 @@ def stream_bursts(spark, sf_dir):
     return spark.read.option("recursiveFileLookup", "true").schema("burst_id string, persons long").parquet(out)
 
 
-@query("stream_bank")
+@query("stream_bank", sql=f"with recursive {ENROLLED} select id, bib, sighting_count, enrollment_type, shards from ids")
 def stream_bank(spark, sf_dir):
+    """Enrollments in three batches, the third and second with bursts that came before."""
     src, out, log, ck = (work_path(spark, x) for x in ("bank-src", "bank", "bank-log", "bank-ck"))
-    e = _enrollments(spark, sf_dir)
-    e.repartitionByRange(2, "seq").write.parquet(src)
+    e = written(_enrollments(spark, sf_dir), "enrollments")
+    burst = F.col("burst_id").cast("long")
+    third = e.count() // 30
+    for rows in (burst < third, (burst < 2 * third) & ((burst >= third) | (burst % 7 == 0)), (burst >= 2 * third) | (burst % 5 == 0)):
+        e.where(rows).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    run_available(stream, ck, bank_sink(out, log)).awaitTermination()
-    return spark.read.parquet(out).where(F.col("batch") == F.lit(spark.read.parquet(out).agg(F.max("batch")).first()[0])).select("id", "bib", "sighting_count", "enrollment_type")
+    run_available(stream, ck, bank_sink(out, log, full_every=2)).awaitTermination()
+    return current_bank(spark, out).select("id", "bib", "sighting_count", "enrollment_type", F.size("shards").alias("shards"))
 
 
 @query("burst_sods", sql="select user_id, round(min(hour(ts) * 3600 + minute(ts) * 60 + date_part('microsecond', ts) / 1000000.0), 6) as sod from events group by user_id")

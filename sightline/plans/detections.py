@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import bursts, consensus, detections, reports
+from .burst_sql import NMS
 from .registry import query
 from .scalars import table
 
@@ -278,11 +279,20 @@ def _image_boxes(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image"), F.row_number().over(w).alias("seq"), q.alias("x1"), (n * 3.0).alias("y1"), (q + 20).alias("x2"), (n * 3.0 + 30).alias("y2"), (0.5 + F.col("l_discount") * 4).alias("confidence"))
 
 
-@query("nms")
+@query("nms", sql=NMS)
 def nms(spark, sf_dir):
     return bursts.suppress_overlaps(_image_boxes(spark, sf_dir))
 
 
-@query("notification_json")
+@query("notification_json", sql=f"""with {SUBJ_SQL},
+c as (select *, round(coalesce(nullif(ocr_conf, 0), consensus_conf), 4) as confidence from s),
+r as (select burst_id, assigned_bib as bib, max(confidence) as confidence from c where assigned_bib is not null group by all),
+runners as (select burst_id, list(struct_pack(bib := bib, confidence := confidence) order by bib) as runners from r group by burst_id),
+p as (select burst_id, photo_id, coalesce(list(struct_pack(bib := assigned_bib, confidence := confidence) order by assigned_bib, confidence) filter (where assigned_bib is not null), []) as runners,
+             case when bool_or(assigned_bib is null) then ['LF'] else [] end as tags from c group by all),
+i as (select burst_id, list(photo_id order by photo_id) as photo_ids, map(list(photo_id::varchar order by photo_id::varchar), list(struct_pack(runners := runners, tags := tags) order by photo_id::varchar)) as per_image from p group by burst_id)
+select burst_id, to_json(struct_pack(task_type := 'batch_notification', burst_id := burst_id, photo_ids := photo_ids, status := 'completed', runners := coalesce(runners, []), per_image := per_image))::varchar as value
+from i left join runners using (burst_id)
+""")
 def notification_json(spark, sf_dir):
     return reports.notification(_subjects(spark, sf_dir), ["burst_id"])

@@ -8,14 +8,10 @@ from ..config import SETTINGS, Settings
 from ..functions.bibs import compatible, occluded
 from ..functions.timeparse import seconds_of_day
 from ..operators import bank, gallery, joins
+from .burst_sql import COMPAT_SQL
 from .registry import query
 from .scalars import table
 
-COMPAT_SQL = """case when {a} = {b} then true
-       when length({a}) = length({b}) and length({a}) >= 2 then list_sum(list_transform(range(1, length({a}) + 1), lambda i: ({a}[i] <> {b}[i])::int)) = 1
-       when length({a}) < length({b}) and length({a}) >= 2 then regexp_matches({b}, array_to_string(string_split({a}, ''), '.*'))
-       when length({a}) > length({b}) and length({b}) >= 2 then regexp_matches({a}, array_to_string(string_split({b}, ''), '.*'))
-       else false end"""
 SOD_SQL = "(hour(ts) * 3600 + minute(ts) * 60)::double + date_part('microsecond', ts) / 1000000.0"
 
 

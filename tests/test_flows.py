@@ -10,7 +10,7 @@ from sightline.functions import sql as sql_functions
 from sightline.functions.bibs import blocking_keys
 from sightline.operators import bank, reports, transactions
 from sightline.sources import messages, participants
-from sightline.streaming.bursts import bank_sink, detections_of, once, run_available
+from sightline.streaming.bursts import bank_sink, current_bank, detections_of, once, run_available
 from sightline.streaming.windows import sessions
 
 from .test_functions import PAIRS
@@ -80,13 +80,26 @@ def test_bank_stream_equals_batch_and_repeats_safely(spark, tmp_path):
     e = enrollments(spark)
     e.coalesce(1).write.parquet(f"{tmp_path}/in")
     key = lambda t: sorted((r.id, r.sighting_count, tuple(np.round(r.face, 9))) for r in t.collect())
-    sink = bank_sink(f"{tmp_path}/bank", f"{tmp_path}/log")
     first, second = e.where("seq < 20"), e.where("seq >= 20")
-    for n, batch in ((0, first), (0, first), (1, second), (1, second), (2, first)):  # runs again, and a redelivery
-        sink(batch, n)
-    assert key(spark.read.parquet(f"{tmp_path}/bank/batch=2")) == key(bank.enroll(e))
-    run_available(spark.readStream.schema(e.schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/ck", bank_sink(f"{tmp_path}/bank2", f"{tmp_path}/log2")).awaitTermination()
-    assert key(spark.read.parquet(f"{tmp_path}/bank2/batch=0")) == key(bank.enroll(e))
+    for every in (50, 2, 1):  # versions alone, with the whole bank now and then, and always
+        at, log = f"{tmp_path}/bank{every}", f"{tmp_path}/log{every}"
+        sink = bank_sink(at, log, every)
+        for n, batch in ((0, first), (0, first), (1, second), (1, second), (2, first), (3, second.where("seq < 0"))):  # runs again, redeliveries, and nothing
+            sink(batch, n)
+        assert key(current_bank(spark, at)) == key(bank.enroll(e))
+        assert key(current_bank(spark, at, 1)) == key(bank.enroll(first))
+    run_available(spark.readStream.schema(e.schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/ck", bank_sink(f"{tmp_path}/bank", f"{tmp_path}/log")).awaitTermination()
+    assert key(current_bank(spark, f"{tmp_path}/bank")) == key(bank.enroll(e))
+    assert current_bank(spark, f"{tmp_path}/nothing").count() == 0
+
+
+def test_bank_stream_writes_what_it_touches(spark, tmp_path):
+    e = enrollments(spark)
+    sink = bank_sink(f"{tmp_path}/bank", f"{tmp_path}/log")
+    one = e.select("bib").first()[0]
+    sink(e.where(F.col("bib") != one), 0)
+    sink(e.where(F.col("bib") == one), 1)
+    assert {r.bib for r in spark.read.parquet(f"{tmp_path}/bank/batch=1").collect()} <= {one, None}
 
 
 def tables(spark):
