@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..config import DEFAULT_RANK, ENROLL_RANK, SETTINGS, Settings
 from ..functions.bibs import compatible
+from ..functions.text import uuid5
 from ..functions.vectors import cosine_distance
 from ..sources.work import written
 from .folds import fold_groups
@@ -65,6 +66,17 @@ def adopt(confirmed: DataFrame, ghosts: DataFrame, subjects: DataFrame, by: list
     return s, ghosts.join(empty, "id", "left_anti"), won
 
 
+def release_subjects(subjects: DataFrame, releases: DataFrame) -> DataFrame:
+    """Subjects after their identities were taken over: those whose match type is trusted as little as the
+    newcomer's or less go to the ghost that holds the old vectors, without a bib. releases:
+    identity_id, ghost_id, rank (of the newcomer); one row per identity."""
+    r = releases.select(F.col("identity_id").alias("_i"), F.col("ghost_id").alias("_ghost"), F.col("rank").alias("_rank"))
+    s = subjects.join(r, F.col("identity_id") == F.col("_i"), "left")
+    gone = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ENROLL_RANK.items() for x in kv]), F.col("match_type")) >= F.col("_rank"), F.lit(False))
+    changed = {"identity_id": F.when(gone, F.col("_ghost")).otherwise(F.col("identity_id")), "assigned_bib": F.when(~gone, F.col("assigned_bib")), "match_type": F.when(gone, "ghost").otherwise(F.col("match_type"))}
+    return s.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in subjects.columns])
+
+
 def purge_empty(identities: DataFrame, subjects: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """``identities`` without those (of ``candidates``, if given) that have no subject."""
     empty = (identities if candidates is None else candidates).select("id").distinct().join(subjects.select(F.col("identity_id").alias("id")).distinct(), "id", "left_anti")
@@ -206,6 +218,15 @@ class Enrollment:
         return r | {"face": plain(r["face"]), "reid": plain(r["reid"]), "shards": [x | {"face": plain(x["face"]), "reid": plain(x["reid"])} for x in r["shards"]]}
 
 
+def ensure(enrollments: DataFrame, bank: DataFrame | None = None, settings: Settings = SETTINGS, compat: bool = True) -> DataFrame:
+    """``enroll``, and a new ghost for each enrollment without a bib, named by its project and seq."""
+    known = enroll(enrollments, bank, settings, compat)
+    name = F.concat_ws("\x1f", F.lit("ghost"), "project_id", F.lit(""), F.lit("unread"), F.col("seq").cast("string"))
+    kinds = dict(known.dtypes)
+    ghosts = enrollments.where("bib is null").select(uuid5(name).alias("id"), "project_id", F.lit(None).cast("string").alias("bib"), F.col("face").cast("array<double>").alias("face"), F.col("reid").cast("array<double>").alias("reid"), F.lit(1).alias("sighting_count"), F.lit("ghost").alias("enrollment_type"), F.array().cast(kinds["shards"]).alias("shards"))
+    return known.unionByName(ghosts).dropDuplicates(["id"])
+
+
 def enroll(enrollments: DataFrame, bank: DataFrame | None = None, settings: Settings = SETTINGS, compat: bool = True) -> DataFrame:
     """Fold enrollments (project_id, bib, seq, face, reid, match_type) into identities, in the order of
     seq: a table of STATE with the identities of all bibs touched and their new ghosts. ``bank``: a

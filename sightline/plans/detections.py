@@ -252,15 +252,19 @@ def telemetry_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(v < 5).alias("failed"), F.count_if(v >= 5).alias("ok"), F.round(F.sum("value"), 2).alias("total"), F.max("value").alias("slowest"), F.count_if(v < 20).alias("low"))
 
 
-@query("chunk128", sql="select o_orderkey, (row_number() over (partition by o_orderpriority order by o_orderkey) - 1) // 128 as chunk, (row_number() over (partition by o_orderpriority order by o_orderkey) - 1) % 128 as place from orders")
+@query("chunk128", sql="""
+select o_orderkey, (row_number() over w - 1) // 128 as chunk, (row_number() over w - 1) % 128 as place from orders window w as (partition by o_orderpriority, o_orderkey // 4096 order by o_orderkey)
+""")
 def chunk128(spark, sf_dir):
-    out = reports.chunks(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderkey")
+    """Chunks within a priority and a feeder's batch of 4096 keys."""
+    o = table(spark, sf_dir, "orders").withColumn("feeder", F.floor(F.col("o_orderkey") / 4096))
+    out = reports.chunks(o, ["o_orderpriority", "feeder"], "o_orderkey")
     return out.select("o_orderkey", "chunk", F.col("place").cast("long").alias("place"))
 
 
 @query("next_fit_packing", sql="""
 with recursive m as (
-  select c_nationkey as g, c_custkey as o, (c_custkey * 31 % 90 + 1)::bigint as w, row_number() over (partition by c_nationkey order by c_custkey) as k from customer),
+  select c_nationkey * 1000000 + c_custkey // 4096 as g, c_custkey as o, (c_custkey * 31 % 90 + 1)::bigint as w, row_number() over (partition by c_nationkey, c_custkey // 4096 order by c_custkey) as k from customer),
 t as (
   select g, o, k, 0::bigint as batch, w as fill from m where k = 1
   union all
@@ -269,8 +273,8 @@ t as (
 select o as c_custkey, batch from t
 """)
 def next_fit_packing(spark, sf_dir):
-    m = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", (F.col("c_custkey") * 31 % 90 + 1).alias("w"))
-    return reports.next_fit(m, "c_custkey", "w", by=["c_nationkey"]).select("c_custkey", "batch")
+    m = table(spark, sf_dir, "customer").select("c_nationkey", F.floor(F.col("c_custkey") / 4096).alias("feeder"), "c_custkey", (F.col("c_custkey") * 31 % 90 + 1).alias("w"))
+    return reports.next_fit(m, "c_custkey", "w", by=["c_nationkey", "feeder"]).select("c_custkey", "batch")
 
 
 def _image_boxes(spark, sf_dir):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RANK, INTENT_PRIORITY
-from ..functions import bibs, geometry, text, timeparse, vectors
+from ..functions import bibs, crypto, geometry, text, timeparse, vectors
 from .registry import query
 
 
@@ -129,7 +131,7 @@ def intent_priority(spark, sf_dir):
 
     kind = F.when(F.col("o_orderstatus") == "F", "golden_sample").when(F.col("o_orderstatus") == "P", "golden_delayed").otherwise("unheard_of")
     o = table(spark, sf_dir, "orders").withColumn("priority", text.rank_of(kind, INTENT_PRIORITY, DEFAULT_RANK))
-    return o.select("o_orderkey", "priority", F.row_number().over(Window.partitionBy("o_custkey").orderBy("priority", "o_orderkey")).alias("place"), F.when(F.col("o_orderpriority") == "1-URGENT", 640).otherwise(1920).alias("preset"))
+    return o.select("o_orderkey", "priority", F.row_number().over(Window.partitionBy("o_custkey").orderBy("priority", "o_orderkey")).alias("place"), text.image_preset(F.when(F.col("o_orderpriority") == "1-URGENT", "probe_calibration").when(F.col("o_orderpriority") != "5-LOW", "bib_detection")).alias("preset"))
 
 
 @query("vector_functions", sql="""
@@ -150,3 +152,15 @@ def vector_functions(spark, sf_dir):
     a, b, none = F.col("a"), F.col("b"), F.lit(None).cast("array<float>")
     sim = vectors.cosine(a, b)
     return p.select("vec_id", F.round(sim, 6).alias("sim"), F.round(vectors.cosine_distance(a, b), 6).alias("dist"), vectors.cosine_distance(a, none).alias("dist_null"), vectors.cosine(a, none).alias("sim_null"), F.round(F.get(vectors.ema(a, b), 0), 6).alias("ema_first"), vectors.gate(sim, F.lit(0.0), 0.25, 0.85, 0.88, 0.6).alias("passes"), F.round(vectors.best_similarity(sim, F.lit(0.5)), 6).alias("best"), F.round(text.time_proximity(F.col("vec_id") % 5 - 2, 2.0), 6).alias("proximity"))
+
+
+@query("fernet_round_trip", sql="""
+select c_custkey, c_name as text, true as signed, false as other_key, 1700000000 + c_custkey as made, 4 * ((57 + (strlen(c_name) // 16 + 1) * 16 + 2) // 3) as size from customer
+""")
+def fernet_round_trip(spark, sf_dir):
+    """Tokens that come back with their key and not with another."""
+    key, other = (base64.urlsafe_b64encode(bytes(range(n, n + 32))).decode() for n in (0, 7))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    token = crypto.encrypt(F.encode("c_name", "UTF-8"), key, 1_700_000_000 + F.col("c_custkey"), F.unhex(F.md5(F.col("c_custkey").cast("string"))))
+    t = c.withColumn("token", token)
+    return t.select("c_custkey", crypto.decrypt(F.col("token"), key).cast("string").alias("text"), F.startswith("token", F.lit("gAAAAA")).alias("signed"), crypto.decrypt(F.col("token"), other).isNotNull().alias("other_key"), crypto.issued_at(F.col("token")).alias("made"), F.length("token").cast("long").alias("size"))

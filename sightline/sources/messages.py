@@ -99,6 +99,26 @@ def image_rows(listed: DataFrame, path: str = "path") -> DataFrame:
     return listed.select(path).mapInPandas(load, schema)
 
 
+def edge_zones_masked(images: DataFrame, pixels: str = "pixels", width: str = "width", height: str = "height", left: float = 0.15, right: float = 0.15) -> DataFrame:
+    """``images`` with the raw pixels (rows of width pixels of equal size each, as bytes) black in the
+    outer shares of the width, rounded down; other columns stay. Null pixels stay null."""
+
+    @F.pandas_udf(T.BinaryType())
+    def mask(data: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
+        out = []
+        for d, columns, rows in zip(data, w, h, strict=True):
+            if d is None or not columns or not rows:
+                out.append(d)
+                continue
+            a = np.frombuffer(d, np.uint8).reshape(int(rows), int(columns), -1).copy()
+            a[:, : int(columns * left)] = 0
+            a[:, a.shape[1] - int(columns * right) :] = 0
+            out.append(a.tobytes())
+        return pd.Series(out, dtype=object)
+
+    return images.withColumn(pixels, mask(pixels, F.coalesce(width, F.lit(0)), F.coalesce(height, F.lit(0))))
+
+
 def burst_metrics(images: DataFrame, by: list[str]) -> DataFrame:
     """Tallies of a burst's images: images, ok, failed, mean and largest inference time."""
     return images.groupBy(*by).agg(F.count("*").alias("images"), F.count_if("success").alias("ok"), F.count_if(~F.col("success")).alias("failed"), F.avg("inference_ms").alias("mean_ms"), F.max("inference_ms").alias("max_ms"))
