@@ -186,6 +186,22 @@ def _link_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
 
 
+def _hubs(shared: DataFrame) -> DataFrame:
+    """Two members of each bucket that the others are compared with: the one that meets most others in
+    all its buckets, as an original does among its copies, and one at random. shared: key, node, c (the
+    bucket's size)."""
+    met = stash(shared.groupBy("node").agg(F.sum("c").alias("met")), "bucket-mates")
+    ranked = shared.select("key", "node").join(met, "node")
+    chosen = ranked.groupBy("key").agg(F.max(F.struct("met", "node")).alias("most"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("any"))
+    return chosen.select("key", F.col("most.node").alias("most"), F.col("any.node").alias("any"))
+
+
+def _leader_pairs(shared: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The distinct pairs (hub, node) of the members of each bucket with its hubs."""
+    pairs = shared.select("key", "node").join(hubs, "key").select("node", F.explode(F.array_distinct(F.array("most", "any"))).alias("hub")).where("hub <> node")
+    return pairs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")).distinct()
+
+
 def _within(pairs: DataFrame, marks: DataFrame, percent: int, radius: int) -> DataFrame:
     """Of distinct pairs (hub, node) those with a signature distance within the radius and sizes that
     allow the similarity. marks: node, sig, n."""
@@ -326,8 +342,7 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str
     with another text are documents of their own, and null ids take part like any other.
 
     Candidates are the pairs of a bucket of equal keys whose signatures are within the radius. First
-    the members of each bucket are compared with its smallest member; most buckets are then of one
-    component. In those that are not, the members of unlike components are compared, in pairs of
+    the members of each bucket are compared with two of them; most buckets are then of one component. In those that are not, the members of unlike components are compared, in pairs of
     blocks, at every size alike.
     """
     m = chunks_for(percent / 100)
@@ -364,11 +379,12 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str
     classes = sketches.where("n_shingles > 0").groupBy("n_shingles", "c1", "c2").agg(F.min(doc).alias("rep"), F.first("sig").alias("sig"))
     classes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     keyed = stash(classes.select("node", "sig").mapInArrow(keys, "node long, key long"), "keys")
-    # buckets with two members or more, as stars around their smallest member
+    # buckets with two members or more
     # (written, so that the join has a plain exchange on both sides and a hot key can be split)
-    hubs = stash(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("key", "hub"), "hubs")
-    shared = stash(keyed.join(hubs, "key"), "buckets")
-    unstash(hubs), unstash(keyed)
+    sizes = stash(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "bucket-sizes")
+    shared = stash(keyed.join(sizes, "key"), "buckets")
+    hubs = stash(_hubs(shared), "hubs")
+    unstash(sizes), unstash(keyed)
 
     def set_bytes(batches):
         memo = WordHash()
@@ -378,10 +394,11 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85, id_col: str
     # the sets of the members, once; of rows that repeat the class's first document any will do
     asked = classes.select("node", "rep.*").join(shared.select("node").distinct(), "node", "left_semi")
     asked = stash(asked.select("node", F.col("doc_id").alias("_d"), F.col("version").alias("_v")), "asked")
-    rows = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v"))).select("node", "text").dropDuplicates(["node"])
+    # (always by a shuffle of both sides: the list of what is asked grows with the table)
+    rows = texts.join(asked.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v"))).select("node", "text").dropDuplicates(["node"])
     sets = stash(rows.mapInArrow(set_bytes, "node long, set binary"), "sets")
     marks = stash(classes.select("node", "sig", F.col("n_shingles").alias("n")).join(sets.select("node"), "node", "left_semi"), "marks")
-    leaders = stash(_within(shared.where("node > hub").select("node", "hub").distinct(), marks, percent, 2 * m - 1), "leader-pairs")
+    leaders = stash(_within(_leader_pairs(shared, hubs), marks, percent, 2 * m - 1), "leader-pairs")
     star = stash(connected_components(stash(_links_of(leaders, sets, percent), "leader-links")), "leader-components")
     more = stash(_open_links(shared, star, marks, sets, percent, 2 * m - 1), "open-links")
     comps = star if more.isEmpty() else stash(connected_components(star.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more)), "components")
