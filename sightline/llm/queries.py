@@ -19,6 +19,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_decontamination": decontaminate.op3_sql(),
+    "op4_suffix_dedup": suffix_dedup.op4_sql(),
+    "op10_html_text": html_text.op10_sql(),
     "op2_quality_rules": quality.op2_sql(),
     "op5_near_dup": near_dup.op5_sql(),
     "op6_url_filters": url_filters.op6_sql(),

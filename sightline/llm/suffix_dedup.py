@@ -418,3 +418,20 @@ def op4_query(spark, sf_dir) -> DataFrame:
     """The contract's columns, and ``repeated``: whether anything was removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return cut_repeats(docs, 400, keep_bytes=False).drop("kept").withColumn("repeated", F.col("n_removed") > 0)
+
+
+def op4_sql() -> str:
+    """All windows of 400 bytes by hash, and the runs that the repeated ones cover; texts as hexadecimal digits."""
+    return r"""
+with d as (select row_number() over () as rid, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+p as (select rid, j, substr(h, 2 * j + 1, 1822) as part from (select rid, h, unnest(range(0, length(h) // 2 - 399, 512)) as j from d)),
+w as (select rid, j + o as i, hash(substr(part, 2 * o + 1, 800)) as g from (select rid, j, part, unnest(range(0, least(512, length(part) // 2 - 399))) as o from p)),
+again as (select rid, i from w join (select g from w group by g having count(*) > 1) using (g)),
+edges as (select rid, i, i > coalesce(max(i) over (partition by rid order by i rows between unbounded preceding and 1 preceding), -401) + 400 as opens from again),
+runs as (select rid, min(i) as a, max(i) + 400 as z from (select rid, i, sum(opens::int) over (partition by rid order by i rows unbounded preceding) as k from edges) group by rid, k),
+spans as (select rid, list(struct_pack(a := a, z := z) order by a) as s from runs group by rid),
+kept as (
+  select d.*, coalesce(s, []) as s, case when s is null then h else array_to_string(list_transform(range(0, len(s) + 1), lambda k: substr(h, case when k = 0 then 1 else 2 * s[k].z + 1 end, case when k = len(s) then length(h) else 2 * (s[k + 1].a - case when k = 0 then 0 else s[k].z end) end)), '') end as rest
+  from d left join spans using (rid))
+select doc_id, (length(h) // 2)::bigint as n_bytes, ((length(h) - length(rest)) // 2)::bigint as n_removed, len(s)::bigint as n_spans, sha256(unhex(rest)) as kept_sha256, length(h) > length(rest) as repeated from kept
+"""

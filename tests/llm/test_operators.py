@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm import decontaminate, html_text, line_dedup, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
 from sightline.llm.components import connected_components
+from sightline.llm.queries import ORACLES, QUERIES
 
 from ..conftest import SF, rows_of
 from . import brute
@@ -163,6 +164,12 @@ def test_decontamination_of_texts_shorter_than_an_item(spark):
     assert left == {d for d, _ in rows} - set(want)
 
 
+@pytest.mark.parametrize("name", ["op3_decontamination", "op4_suffix_dedup", "op10_html_text"])
+def test_oracles_over_whole_texts(spark, oracle, name):
+    got, want = QUERIES[name](spark, SF).toPandas(), oracle(ORACLES[name])
+    assert sorted(got.columns) == sorted(want.columns) and rows_of(got) == rows_of(want)
+
+
 def test_index_finds_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(1)
     items = [(i, " ".join(words(20, i))) for i in range(30)]
