@@ -5,6 +5,8 @@ import random
 import numpy as np
 
 import corpus_pipeline
+from sightline.llm import stages
+from sightline.llm.common import stash
 from sightline.llm.queries import ORACLES, QUERIES
 
 from ..conftest import SF
@@ -64,10 +66,22 @@ def test_stages_of_an_empty_table(spark, tmp_path):
 
 
 def test_run(spark):
-    assert corpus_pipeline.run(spark, SF).count() > 0
+    """The whole run takes of whole stages' results what the mix of them takes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, f in corpus_pipeline.STAGES:
+        docs = stash(f(spark, docs, SF), "stage")
+    want = sorted(map(tuple, docs.collect()))
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == want and want
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_two_texts_under_one_id_are_two_documents(spark, tmp_path):
+    r = random.Random(6)
+    a, b = (" ".join(r.choices([f"w{i}" for i in range(300)], k=80)) for _ in range(2))
+    df = spark.createDataFrame([(1, a, "en", "a", 1, "x"), (2, a, "en", "a", 1, "x"), (2, b, "en", "a", 1, "x"), (2, b, "en", "a", 1, "x")], COLUMNS)
+    assert sorted((x.doc_id, x.text) for x in stages.near(spark, df, str(tmp_path)).collect()) == [(1, a), (2, b)]
+
+
 def test_registry():
     assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
     assert set(ORACLES) <= set(QUERIES)
@@ -75,5 +89,5 @@ def test_registry():
 
 def test_short_lines_go_too(spark, tmp_path):
     df = spark.createDataFrame([(1, "Share this", "en", "a", 10, "x"), (2, "Share this\nand more", "en", "a", 19, "x")], COLUMNS)
-    got = sorted((r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.lines(spark, df, str(tmp_path)).collect())
+    got = sorted((r.doc_id, r.text, r.n_chars) for r in stages.lines(spark, df, str(tmp_path)).collect())
     assert got == [(1, "Share this", 10), (2, "and more", 8)]
