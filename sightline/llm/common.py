@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,9 +48,34 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     drop_at_end(df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stash_path = path
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
+#: Stashed tables by the scratch scopes that are open, the innermost last.
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """What is stashed within is removed at the end, but for what ``kept`` names."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for df in _scopes.pop():
+            unstash(df)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Let a stashed table outlive the innermost scratch scope."""
+    _scopes[-1][:] = [x for x in _scopes[-1] if x is not df]
+    if len(_scopes) > 1:
+        _scopes[-2].append(df)
+    return df
+
+
 def unstash(df: DataFrame) -> None:
     """Remove a stashed table that nothing reads any more."""
     path = getattr(df, "_stash_path", None)

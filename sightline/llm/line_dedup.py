@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import free_name, slices, stash
+from .common import free_name, kept, scratch, slices, stash
 
 #: Lines with fewer characters are not compared by edits, as one edit makes another word of them; see ``exact_short``.
 LEAST_CHARS = 20
@@ -199,7 +199,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text stays null, with 0 lines; other texts keep their remaining lines as they are, and
     lines without words, and without ``exact_short`` those below ``least_chars``, are never dropped. No row is lost.
     """
-    gone = stash(dropped_lines(docs, id_col, text_col, least_chars, exact_short).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines")
+    with scratch():
+        gone = kept(stash(dropped_lines(docs, id_col, text_col, least_chars, exact_short).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")), "dropped-lines"))
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "_gone")
     n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
     # other columns travel in one struct, so that no name of theirs can clash with those used here

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stash, unstash, word_pieces
+from .common import kept, scratch, slices, stash, unstash, word_pieces
 from .components import connected_components
 
 K = 72
@@ -426,7 +426,8 @@ def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     last), then version. Rows are told apart by id and text, so that of two texts under one id only
     the duplicate goes; of rows equal in both any one stays. Rows without words all stay but for
     such repeats. All columns stay as they are."""
-    groups = stash(near_groups(docs, words, percent, id_col, text_col).select("doc_id", "version", "component_id", "component_version"), "near-groups")
+    with scratch():
+        groups = kept(stash(near_groups(docs, words, percent, id_col, text_col).select("doc_id", "version", "component_id", "component_version"), "near-groups"))
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("version") == F.col("component_version"))
     fate = groups.groupBy("doc_id", "version").agg(F.count("*").alias("n"), F.min(first).alias("first"))
     fate = stash(fate.where("n > 1 or not first").select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "first"), "near-fates")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import kept, scratch, stash, unstash
 from .decontaminate import drop_contaminated
 from .line_dedup import dedup_lines
 from .mixing import mix
@@ -56,7 +56,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, one after the other."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch():
+            before, docs = docs, kept(stash(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        unstash(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

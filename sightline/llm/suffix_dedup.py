@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stash
+from .common import kept, scratch, slices, stash
 from .near_dup import _mix
 
 GRAM = 32
@@ -392,7 +392,9 @@ def cut_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text
     remaining bytes): every byte that a string of ``length`` bytes covers that also starts anywhere
     else goes, judged on the input. Texts below ``length`` bytes and null texts lose nothing."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    spans = stash(repeated_spans(docs, length, id_col, text_col), "spans").select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "spans")
+    with scratch():
+        spans = kept(stash(repeated_spans(docs, length, id_col, text_col), "spans"))
+    spans = spans.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), "spans")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), text.cast("binary").alias("bytes"))
     joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v")), "left").select("doc_id", "bytes", "spans")
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -402,12 +404,12 @@ def cut_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text
             rows = []
             for data, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 runs = merged([(x["a"], x["b"]) for x in found or []])
-                kept, at = [], 0
+                parts, at = [], 0
                 for x, y in runs:
-                    kept.append(data[at:x])
+                    parts.append(data[at:x])
                     at = y
-                kept = b"".join([*kept, data[at:]]) if runs else data
-                rows.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
+                rest = b"".join([*parts, data[at:]]) if runs else data
+                rows.append((len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest if keep_bytes else None))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
