@@ -273,7 +273,11 @@ def _open_links(shared: DataFrame, component: DataFrame, marks: DataFrame, sets:
     def parts(count, size):
         return F.greatest(F.ceil(count / BLOCK), F.ceil(size / BLOCK_SHINGLES)).cast("int")
 
-    comps = stash(left.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s")).withColumn("own", (F.col("c") > BLOCK // 4) | (F.col("s") > BLOCK_SHINGLES // 4)), "bucket-components")
+    comps = stash(left.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s")), "bucket-components")
+    # a bucket that fits in a block is not split; else large components get blocks of their own
+    whole = comps.groupBy("key").agg(parts(F.sum("c"), F.sum("s")).alias("blocks"))
+    own = (F.col("blocks") > 1) & ((F.col("c") > BLOCK // 4) | (F.col("s") > BLOCK_SHINGLES // 4))
+    comps = comps.join(whole, "key").withColumn("own", own)
     pool = comps.where("not own").groupBy("key").agg(parts(F.sum("c"), F.sum("s")).alias("pool"))
     where = stash(comps.join(pool, "key", "left").select("key", "comp", F.when(F.col("own"), F.col("comp")).otherwise(F.lit(-1)).alias("owner"), F.when(F.col("own"), parts(F.col("c"), F.col("s"))).otherwise(F.col("pool")).alias("parts")), "bucket-blocks")
     part = F.pmod(F.xxhash64(F.when(F.col("owner") < 0, F.col("comp")).otherwise(F.col("node"))), F.col("parts")).cast("int")
