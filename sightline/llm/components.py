@@ -19,7 +19,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     e = stash(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     names = e
-    seen = None
+    sign = lambda t: t.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    seen = sign(e)  # edges that are stars already settle in one round
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # minima are written, so that the joins have plain exchanges on both sides and a hub can be split
@@ -30,7 +31,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = stash(small, "cc")
-        now = new.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = sign(new)
         unstash(low), unstash(large)
         if e is not names:
             unstash(e)
