@@ -5,8 +5,8 @@ The windows of a document that are as long as an item, at every word, get a fing
 document shorter than an item is one window). Windows that hold fewer shingles of any item than the
 similarity takes are passed over, which loses nothing. Fingerprints meet in a multi-index: within
 radius r = 31, one of 8 blocks of 16 bits differs in at most 3; items are held under all values of a
-block that are 1 error away and windows asked under all that are 2 away, so that no pair within the
-radius is missed. Candidates are verified by exact weighted similarity.
+block that are some errors away and windows asked under all that are the rest away, so that no pair
+within the radius is missed. Candidates are verified by exact weighted similarity.
 
 A benchmark of up to BROADCAST_BYTES is sent to the tasks as an index; beyond it, blocks are rows of
 tables that are joined on the block's number and value. Either way the documents are read once.
@@ -59,8 +59,15 @@ def _masks(errors: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for e in range(errors + 1) for c in combinations(range(16), e)], np.uint16)
 
 
-#: Errors that the items' side and the windows' side allow in a block: RADIUS // BLOCKS together.
-ITEM_MASKS, WINDOW_MASKS = _masks(1), _masks(2)
+#: By errors, the differences of a block's value. Items' side and windows' side allow RADIUS // BLOCKS together.
+MASKS = [_masks(e) for e in range(RADIUS // BLOCKS + 1)]
+#: Of these, the items' side takes 2 in tables that are joined, and in an index as many as fit in so many bytes.
+ITEM_ERRORS, INDEX_BYTES = 2, 64 << 20
+
+
+def item_errors(items: int) -> int:
+    """The most errors for which the index of so many items fits, 1 at least; what it holds does not change what is found."""
+    return max((e for e, m in enumerate(MASKS) if 4 * BLOCKS * items * len(m) <= INDEX_BYTES), default=1) or 1
 
 
 def least_common(a: int, b: int, percent: int) -> int:
@@ -103,9 +110,9 @@ def window_prints(s: np.ndarray, starts: np.ndarray, size: int) -> Iterator[tupl
 class Index:
     """The benchmark's items."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int, percent: int):
+    def __init__(self, items: list[tuple[int, str]], n: int, percent: int, errors: int | None = None):
         self.n, self.percent, memo = n, percent, WordHash()
-        self.ids, self.counts, self.lengths, prints, known = [], [], [], [], set()
+        self.ids, self.counts, self.lengths, prints, known = [], [], [], [], defaultdict(set)
         for item_id, text in items:
             words = words_of(text, memo)
             if not len(words):
@@ -115,30 +122,42 @@ class Index:
             self.counts.append(Counter(s.tolist()))
             self.lengths.append(len(words))
             prints.append(_pack(_signs(s).sum(0, keepdims=True))[0])
-            known.update(s.tolist())
+            for x in set(s.tolist()):
+                known[x].add(len(words))
         self.prints = np.array(prints, np.uint16).reshape(-1, BLOCKS)
         self.item_lengths = np.array(self.lengths, np.int64)
         self.distinct_lengths = sorted(set(self.lengths))
+        # the items' shingles, and the lengths of the items that have them
         self.known = np.array(sorted(known), np.uint64)
+        held = [sorted(known[x]) for x in self.known.tolist()]
+        self.held_from = np.concatenate([[0], np.cumsum([len(x) for x in held])]).astype(np.int64)
+        self.held_lengths = np.array([k for x in held for k in x], np.int64)
         # for each block, items by every block value within the item side's errors
+        errors = item_errors(len(self.ids)) if errors is None else errors
+        own, self.asked = MASKS[errors], MASKS[RADIUS // BLOCKS - errors]
         self.tables = []
         for b in range(BLOCKS):
-            key = (self.prints[:, b : b + 1] ^ ITEM_MASKS[None, :]).ravel()
+            key = (self.prints[:, b : b + 1] ^ own[None, :]).ravel()
             order = np.argsort(key, kind="stable")
-            self.tables.append((np.concatenate([[0], np.cumsum(np.bincount(key, minlength=65536))]), np.repeat(np.arange(len(self.ids), dtype=np.int32), len(ITEM_MASKS))[order]))
+            self.tables.append((np.concatenate([[0], np.cumsum(np.bincount(key, minlength=65536))]), np.repeat(np.arange(len(self.ids), dtype=np.int32), len(own))[order]))
 
-    def lookup(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All (window, item) within the radius, each once."""
-        found, size = [], max(1, len(self.ids))
+    def lookup(self, prints: np.ndarray, length: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All (window, item) within the radius, each once; of the items of a length, if it is given."""
+        found, size, step = [], max(1, len(self.ids)), max(1, 65536 // len(self.asked))
         for b, (start, items) in enumerate(self.tables):
-            for at in range(0, len(prints), 512):
-                key = (prints[at : at + 512, b : b + 1] ^ WINDOW_MASKS[None, :]).ravel().astype(np.int64)
+            for at in range(0, len(prints), step):
+                key = (prints[at : at + step, b : b + 1] ^ self.asked[None, :]).ravel().astype(np.int64)
                 lo = start[key]
                 count = start[key + 1] - lo
                 on = np.flatnonzero(count)
-                w = np.repeat(on // len(WINDOW_MASKS) + at, count[on])
-                place = np.arange(len(w)) - np.repeat(np.cumsum(count[on]) - count[on], count[on]) + np.repeat(lo[on], count[on])
-                found.append(np.unique(w * size + items[place]))
+                lo, count = lo[on], count[on]
+                ends = np.cumsum(count)
+                item = items[np.arange(ends[-1] if len(ends) else 0) + np.repeat(lo - ends + count, count)]
+                w = np.repeat(on // len(self.asked) + at, count)
+                if length is not None:
+                    fit = self.item_lengths[item] == length
+                    w, item = w[fit], item[fit]
+                found.append(w * size + item)
         pair = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
         w, i = pair // size, pair % size
         near = np.bitwise_count(prints[w] ^ self.prints[i]).sum(1) <= RADIUS
@@ -150,24 +169,47 @@ class Index:
             return []
         words = words_of(text, memo)
         best: dict[int, tuple[float, int]] = {}
-        for n, lengths in shingle_sizes(self.distinct_lengths, self.n):
+        for n, _ in shingle_sizes(self.distinct_lengths, self.n):
             if len(words) < n:
                 continue
             s = shingles(words, n)
             at = np.searchsorted(self.known, s)
             at[at == len(self.known)] = 0
-            for k, starts, size in suspects(s, self.known[at] == s, lengths, n, self.percent):
-                for part, prints in window_prints(s, starts, size):
-                    w, i = self.lookup(prints)
-                    fit = self.item_lengths[i] == k
-                    for start, item in zip(part[w[fit]].tolist(), i[fit].tolist(), strict=True):
-                        both, union = similarity(Counter(s[start : start + size].tolist()), self.counts[item])
-                        if 100 * both >= self.percent * union:
-                            sim = both / union
-                            if item not in best or (sim, -start) > (best[item][0], -best[item][1]):
-                                best[item] = (sim, start)
+            for k, known in self._known(s, self.known[at] == s, at, n):
+                for _, starts, size in suspects(s, known, [k], n, self.percent):
+                    self._compare(s, k, starts, size, best)
         return [(self.ids[i], sim, start, min(self.lengths[i], len(words))) for i, (sim, start) in sorted(best.items())]
 
+    def _known(self, s: np.ndarray, hit: np.ndarray, at: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(item length, places of shingles that an item of that length has) where these could be enough."""
+        places = np.flatnonzero(hit)
+        if not len(places):
+            return
+        lo = self.held_from[at[places]]
+        count = self.held_from[at[places] + 1] - lo
+        ends = np.cumsum(count)
+        lengths = self.held_lengths[np.arange(ends[-1]) + np.repeat(lo - ends + count, count)]
+        places = np.repeat(places, count)
+        order = np.argsort(lengths, kind="stable")
+        lengths, places = lengths[order], places[order]
+        cuts = np.flatnonzero(np.diff(lengths)) + 1
+        for k, held in zip(lengths[np.concatenate([[0], cuts])].tolist(), np.split(places, cuts), strict=True):
+            width = k - n + 1
+            if min(self.n, k) == n and len(held) >= least_common(min(width, len(s)), width, self.percent):
+                known = np.zeros(len(s), bool)
+                known[held] = True
+                yield k, known
+
+    def _compare(self, s: np.ndarray, k: int, starts: np.ndarray, size: int, best: dict[int, tuple[float, int]]) -> None:
+        for part, prints in window_prints(s, starts, size):
+            w, i = self.lookup(prints, k)
+            for start, item in zip(part[w].tolist(), i.tolist(), strict=True):
+                both, union = similarity(Counter(s[start : start + size].tolist()), self.counts[item])
+                if 100 * both >= self.percent * union:
+                    sim = both / union
+                    if item not in best or (sim, -start) > (best[item][0], -best[item][1]):
+                        best[item] = (sim, start)
+
 
 def shingle_sizes(lengths: list[int], n: int) -> list[tuple[int, list[int]]]:
     """(shingle size, the item lengths that use it): items shorter than a shingle have windows of one shingle of their own size."""
@@ -288,8 +330,8 @@ def _find_by_join(texts: DataFrame, items: DataFrame, words: int, percent: int)
 
     windows = texts.mapInArrow(scan, "doc_id long, version long, k long, first_word long, n_words long, p0 long, p1 long, shingles binary")
     windows = stash(windows.withColumn("window", F.monotonically_increasing_id()), "windows")
-    asked = _blocks(windows.select("window", "k", "p0", "p1"), WINDOW_MASKS, "window", "k", "p0", "p1")
-    there = _blocks(prepared.select("item_id", "k", F.col("p0").alias("q0"), F.col("p1").alias("q1"), "p0", "p1"), ITEM_MASKS, "item_id", "k", "q0", "q1")
+    asked = _blocks(windows.select("window", "k", "p0", "p1"), MASKS[RADIUS // BLOCKS - ITEM_ERRORS], "window", "k", "p0", "p1")
+    there = _blocks(prepared.select("item_id", "k", F.col("p0").alias("q0"), F.col("p1").alias("q1"), "p0", "p1"), MASKS[ITEM_ERRORS], "item_id", "k", "q0", "q1")
     apart = F.bit_count(F.col("p0").bitwiseXOR(F.col("q0"))) + F.bit_count(F.col("p1").bitwiseXOR(F.col("q1")))
     pairs = stash(asked.join(there, ["k", "block", "value"]).where(apart <= RADIUS).select("window", "item_id").distinct(), "candidates")
     both = pairs.join(windows.select("window", "doc_id", "version", "first_word", "n_words", "shingles"), "window").join(prepared.select("item_id", F.col("shingles").alias("theirs")), "item_id").select("doc_id", "version", "item_id", "first_word", "n_words", "shingles", "theirs")

@@ -170,10 +170,11 @@ def test_oracles_over_whole_texts(spark, oracle, name):
     assert sorted(got.columns) == sorted(want.columns) and rows_of(got) == rows_of(want)
 
 
-def test_index_finds_every_fingerprint_within_the_radius():
+@pytest.mark.parametrize("errors", [1, 2, 3])
+def test_index_finds_every_fingerprint_within_the_radius(errors):
     rng = np.random.default_rng(1)
     items = [(i, " ".join(words(20, i))) for i in range(30)]
-    index = decontaminate.Index(items, 5, 80)
+    index = decontaminate.Index(items, 5, 80, errors)
     base = index.prints[rng.integers(0, 30, 500)]
     bits = np.unpackbits(base.view(np.uint8), axis=1)
     for row in bits:
