@@ -35,10 +35,14 @@ def ghost_matches(confirmed: DataFrame, ghosts: DataFrame, by: list[str], face_o
 
 
 def without_shared_photos(matches: DataFrame, subjects: DataFrame) -> DataFrame:
-    """Matches whose two identities never stand in one photo. subjects: identity_id, photo_id."""
-    s = subjects.select("identity_id", "photo_id").distinct()
-    both = matches.select("confirmed_id", "ghost_id").distinct().join(s.withColumnRenamed("identity_id", "ghost_id"), "ghost_id").join(s.withColumnRenamed("identity_id", "confirmed_id"), ["confirmed_id", "photo_id"])
-    return matches.join(both.select("confirmed_id", "ghost_id").distinct(), ["confirmed_id", "ghost_id"], "left_anti")
+    """Matches whose two identities never stand in one photo. subjects: identity_id, photo_id.
+
+    Identities of one photo meet in a join on the photo, and equal pairs are combined before they are
+    shuffled, so what is kept grows with the pairs of identities and not with their photos."""
+    matches = written(matches, "matches")
+    in_photo = lambda side: subjects.select("photo_id", F.col("identity_id").alias(side)).join(matches.select(side).distinct(), side, "left_semi")
+    both = in_photo("ghost_id").join(in_photo("confirmed_id"), "photo_id").select("confirmed_id", "ghost_id").distinct()
+    return matches.join(both, ["confirmed_id", "ghost_id"], "left_anti")
 
 
 def without_veto(matches: DataFrame, subjects: DataFrame) -> DataFrame:
