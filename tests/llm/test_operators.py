@@ -311,6 +311,25 @@ def test_open_links_join_what_leaders_leave_apart(spark, monkeypatch, block, den
     assert {i: got.get(i, i) for i in range(len(sets))} == want and len(set(want.values())) > 2
 
 
+def test_overlapping_buckets_are_looked_at_together(spark):
+    """A group whose members share many buckets is placed once; a path of buckets, which would make more pairs, stays as it is."""
+    r = random.Random(1)
+    group = [(key, node) for key in range(100, 140) for node in sorted(r.sample(range(50), 40))]
+    path = [(1000 + i, 1000 + i + d) for i in range(2000) for d in (0, 1)]
+    members = spark.createDataFrame([(k, n, n, 9) for k, n in group + path], "key long, node long, comp long, n long")
+    got = [tuple(x) for x in near_dup._overlapping(members).collect()]
+    assert len(got) == len(set(got)) == 50 + len(path)
+    buckets = {}
+    for key, node, comp, n in got:
+        assert (comp, n) == (node, 9)
+        buckets.setdefault(key, set()).add(node)
+    old = {}
+    for key, node in group + path:
+        old.setdefault(key, set()).add(node)
+    assert all(any(x <= y for y in buckets.values()) for x in list(old.values())[:60])
+    assert {tuple(sorted(x)) for x in buckets.values()} >= {(i, i + 1) for i in range(1000, 3000)}
+
+
 def test_near_duplicates_of_repeated_rows_nulls_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "A b c d"), (None, "a b c d"), (3, None), (None, "x y z")], DOCS)
     got = sorted([(r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in near_dup.near_duplicates(df).collect()])
