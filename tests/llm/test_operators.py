@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.llm import decontaminate, html_text, line_dedup, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
+from sightline.llm import components, decontaminate, html_text, line_dedup, mixing, near_dup, quality, suffix_dedup, token_counts, url_filters, warc
 from sightline.llm.components import connected_components
 from sightline.llm.queries import ORACLES, QUERIES
 
@@ -366,6 +366,38 @@ def test_components_of_a_long_path(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == dict.fromkeys(range(201), 0) | {400: 400, 500: 400}
 
+def component_edges(seed):
+    """Paths, stars with a late hub, cliques, loops, repeats and nulls, with ids of both signs."""
+    r = random.Random(seed)
+    path = r.sample(range(-10_000, 0), 120)
+    edges = [*zip(path, path[1:], strict=False), *((5000, i) for i in range(100, 160)), *((i, j) for i in range(200, 212) for j in range(200, 212))]
+    edges += [(r.randrange(1000, 1400), r.randrange(1000, 1400)) for _ in range(260)]
+    edges += [(7, 7), (None, 8), (9, None), (2**62, -(2**62)), *edges[:20]]
+    r.shuffle(edges)
+    forest = near_dup._Forest()
+    for u, v in edges:
+        if u is not None and v is not None and u != v:
+            forest.join(u, v)
+    return edges, {u: forest.find(u) for u in list(forest)}
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_components_both_ways(spark, monkeypatch, bound):
+    monkeypatch.setattr(components, "TASK_EDGES", bound)
+    edges, want = component_edges(bound)
+    assert {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()} == want
+    assert connected_components(spark.createDataFrame([(1, 1)], "u long, v long")).collect() == []
+
+
+def test_components_of_few_edges_take_few_jobs(spark):
+    edges = spark.createDataFrame(component_edges(3)[0], "u long, v long")
+    spark.sparkContext.setJobGroup("components", "")
+    try:
+        connected_components(edges).collect()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("components")) <= 6
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
 
 # ---- URL filters ----
 
